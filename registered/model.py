@@ -170,7 +170,7 @@ def _flag_sql(*values: str) -> str:
 
 
 _FLAGS = [
-    ("Comics and books",), ("Everyday Play",), ("Kids", "kids"), ("adults",), ("christmas",),
+    ("Comics and books",), ("Everyday Play",), ("Kids", "kids"), ("christmas",),
     ("space",), ("special",),
 ]
 
