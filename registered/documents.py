@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import rules, tags
 from shelfmark.functions.text import with_clean_text
 from shelfmark.operators.report import tag_coverage
+from shelfmark.sources.tables import spread
 
 from .catalogue import BOUNDED_SQL, SUBSTRING_SQL, _category_sql, _coverage_sql
 from .inputs import table
@@ -17,7 +18,8 @@ WORD_PATTERNS = {"first_the": r"\b(then|the|there)\b", "first_word": "(de|en|la|
 
 
 def clean_documents(spark, folder):
-    return with_clean_text(table(spark, folder, "documents"), "text")
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    return with_clean_text(spread(texts, "doc_id"), "text")
 
 
 def documents_clean(spark, folder):

@@ -18,7 +18,7 @@ from shelfmark.operators.similarity import best_matches
 from shelfmark.plans.regex_gold import regex_gold
 from shelfmark.plans.search import RESULT_COLUMNS, search
 from shelfmark.sources.shared import fresh_path, stored
-from shelfmark.sources.tables import use_schema
+from shelfmark.sources.tables import spread, use_schema
 
 from .catalogue import SUBSTRING_SQL
 from .inputs import STEPS, raw_catalogue, silver_catalogue, table, with_steps
@@ -40,7 +40,8 @@ def _numbers(column="embedding"):
 
 
 def embed_text(spark, folder):
-    vectors = with_embedding(table(spark, folder, "documents"), lambda: hashed_words(DIM), "text")
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    vectors = with_embedding(spread(texts, "doc_id"), _embedder, "text")
     return vectors.select("doc_id", _numbers().alias("numbers"))
 
 

@@ -20,6 +20,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a frame read straight from files at least one partition per core.
+
+    For work that is heavy per row on input in few pieces: small files, or
+    large ones that cannot be split. Input in enough pieces is left as it is,
+    without a shuffle. Rows go by ``keys``, which should be close to unique.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def register_view(df: DataFrame, name: str) -> str:
     df.createOrReplaceTempView(name)
     return name

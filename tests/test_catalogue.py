@@ -1,0 +1,82 @@
+from conftest import plan
+from pyspark.sql import functions as F
+
+from shelfmark.operators import catalogue as ops
+
+RAW = (
+    "headline_text string, product_name string, product_description string, "
+    "category_name string, site_product_identifier string, availability_status string, n int"
+)
+
+
+def raw(spark, rows):
+    return spark.createDataFrame(rows, RAW)
+
+
+def test_retired_and_unknown_status_are_dropped(spark):
+    df = raw(spark, [
+        ("h", "a", "d", "c", "1", "R_RETIRED", 1),
+        ("h", "b", "d", "c", "2", None, 2),
+        ("h", "c", "d", "c", "3", "E_AVAILABLE", 3),
+    ])
+    assert [r.product_name for r in ops.live_products(df).collect()] == ["c"]
+    assert tuple(ops.status_counts(df).first()) == (3, 1)
+
+
+def test_counts_of_an_empty_catalogue(spark):
+    assert tuple(ops.status_counts(raw(spark, [])).first()) == (0, 0)
+
+
+def test_null_keys_are_one_key_and_order_decides(spark):
+    df = raw(spark, [
+        ("h", "late", "d", "c", "1", "E", 2),
+        ("h", "early", "d", "c", "1", "E", 1),
+        ("h", "x", "d", "c", None, "E", 4),
+        ("h", "y", "d", "c", None, "E", 3),
+    ])
+    kept = ops.deduplicate(df, order=["n"])
+    assert {r.product_name for r in kept.collect()} == {"early", "y"}
+
+
+def test_default_order_is_the_same_for_any_partitioning(spark):
+    rows = [("h", f"n{i % 7}", f"d{i % 5}" if i % 3 else None, "c", str(i % 11), "E", i)
+            for i in range(300)]
+    df = raw(spark, rows).drop("n")
+    results = [
+        sorted(ops.deduplicate(df.repartition(p)).collect(), key=repr) for p in (1, 3, 8)
+    ]
+    assert results[0] == results[1] == results[2]
+
+
+def test_key_is_lost_when_its_survivor_has_no_description(spark):
+    df = raw(spark, [
+        ("h", "a", None, "c", "1", "E", 1),
+        ("h", "a", "d", "c", "1", "E", 2),
+        ("h", "b", "d", "c", "2", "E", 3),
+    ])
+    out = ops.silver(df, ["n"])
+    assert [r.site_product_identifier for r in out.collect()] == ["2"]
+    assert out.columns == [*ops.PRODUCT_COLUMNS, "concatenated_text"]
+
+
+def test_text_order_and_null_part(spark):
+    df = raw(spark, [
+        ("h", "a", "d", "c", "1", "E", 1), (None, "a", "d", "c", "2", "E", 2),
+    ])
+    texts = {r.site_product_identifier: r.concatenated_text for r in ops.silver(df).collect()}
+    assert texts == {"1": "h | a | d | c | 1", "2": None}
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    """A third of all rows with one key: each task sends one row of it."""
+    df = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+        "id",
+    )
+    kept = ops.deduplicate(df, "key", ["id"])
+    text = plan(kept)
+    assert text.index("WindowGroupLimit") < text.index("Exchange")
+    before = text[text.index("Exchange"):]
+    assert "WindowGroupLimit" in before and "Partial" in before
+    assert kept.count() == 40_001
+    assert kept.filter("key = 'hot'").first().id == 0
