@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfmark-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"shelfmark-{application}-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,0 +1,156 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from shelfmark.sources import shared
+from shelfmark.sources.files import read_catalogue
+from shelfmark.sources.tables import (
+    merged_with, publish, read_table, register_view, spread, use_schema, write_table,
+)
+
+HEADER = (
+    "id_in_shop,site_product_identifier,headline_text,product_name,product_description,"
+    "category_name,availability_status\n"
+)
+
+
+def catalogue_file(tmp_path, body, header=HEADER, name="c.csv"):
+    (tmp_path / name).write_text(header + body)
+    return str(tmp_path)
+
+
+def test_catalogue_columns_are_strings_by_header_name(spark, tmp_path):
+    path = catalogue_file(tmp_path, '9,00123,h,"n, m",d,c,E\n8,5,,n,d,c,\n7,6\n')
+    df = read_catalogue(spark, path)
+    assert {t for _, t in df.dtypes} == {"string"}
+    rows = {r.site_product_identifier: r for r in df.collect()}
+    assert rows["00123"].product_name == "n, m"
+    assert rows["5"].headline_text is None and rows["5"].availability_status is None
+    assert rows["6"].product_name is None
+    assert df.select("product_name", "headline_text").count() == 3
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    path = catalogue_file(tmp_path, '1,1,h,n,"two\nlines, ""quoted""",c,E\n')
+    assert read_catalogue(spark, path).count() == 2
+    row = read_catalogue(spark, path, multiline=True, escape='"').first()
+    assert row.product_description == 'two\nlines, "quoted"'
+
+
+def test_missing_columns_are_named(spark, tmp_path):
+    path = catalogue_file(tmp_path, "1,2\n", header="a,product_name\n")
+    with pytest.raises(ValueError, match="headline_text"):
+        read_catalogue(spark, path)
+
+
+def test_a_file_with_another_header_is_refused(spark, tmp_path):
+    catalogue_file(tmp_path, "1,1,h,n,d,c,E\n", name="a.csv")
+    other = HEADER.replace("headline_text,product_name", "product_name,headline_text")
+    path = catalogue_file(tmp_path, "1,1,n,h,d,c,E\n", header=other, name="b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_catalogue(spark, path).select("product_name").collect()
+
+
+@pytest.fixture
+def schema(spark, tmp_path):
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_shop", str(tmp_path / "shop"))
+    yield "test_shop"
+    spark.catalog.setCurrentDatabase(before)
+    spark.sql("DROP DATABASE test_shop CASCADE")
+
+
+def test_schema_is_made_current_and_may_exist(spark, schema):
+    use_schema(spark, schema)
+    assert spark.catalog.currentDatabase() == schema
+
+
+def test_overwrite_replaces_rows_and_schema(spark, schema):
+    write_table(spark.range(3), "t")
+    write_table(spark.range(2).select(F.col("id").alias("n")), "t")
+    assert read_table(spark, "t").columns == ["n"] and read_table(spark, "t").count() == 2
+
+
+def test_merged_schema_keeps_old_columns_as_null(spark, schema):
+    write_table(spark.createDataFrame([(1, "a", 2.0)], "k int, old string, Both double"), "t")
+    out = write_table(
+        spark.createDataFrame([(3.0, "n", 2)], "both double, new string, k int"), "t", merge_schema=True
+    )
+    assert out.dtypes == [("k", "int"), ("old", "string"), ("Both", "double"), ("new", "string")]
+    assert [tuple(r) for r in out.collect()] == [(2, None, 3.0, "n")]
+
+
+def test_merged_schema_refuses_another_type(spark, schema):
+    write_table(spark.range(1), "t")
+    with pytest.raises(ValueError, match="id"):
+        merged_with(spark.createDataFrame([("x",)], "id string"), "t")
+
+
+def test_publish_may_read_what_it_replaces(spark, schema):
+    publish(spark.range(3), "v")
+    with pytest.raises(AnalysisException):
+        write_table(spark.range(1), "w") and write_table(spark.table("w"), "w")
+    for _ in range(3):
+        publish(spark.table("v").select((F.col("id") + 10).alias("id")), "v")
+    assert sorted(r.id for r in spark.table("v").collect()) == [30, 31, 32]
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith("v__")]
+    assert len(versions) == 2
+
+
+def test_failed_publish_leaves_the_present_version(spark, schema):
+    publish(spark.range(3), "v")
+    with pytest.raises(Exception):
+        publish(spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), "v")
+    assert spark.table("v").count() == 3
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, schema):
+    from conftest import plan
+
+    a = write_table(spark.range(100).withColumn("x", F.lit(1)), "a", bucket_by=(4, "id"))
+    b = write_table(spark.range(100).withColumn("y", F.lit(1)), "b", bucket_by=(4, "id"))
+    joined = a.hint("merge").join(b, "id", "full_outer")
+    assert "Exchange" not in plan(joined) and joined.count() == 100
+
+
+def test_views(spark):
+    name = register_view(spark.range(5), "five")
+    assert spark.sql(f"SELECT sum(id) AS s FROM {name}").first().s == 10
+
+
+class Settings:
+    """A session of which only the settings matter."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default):
+        return self.settings.get(key.replace(".", "_"), default)
+
+    class sparkContext:
+        applicationId = "app-1"
+
+
+def test_shared_folder_is_the_clusters():
+    named = Settings(spark_checkpoint_dir="hdfs://shared/x", spark_master="yarn")
+    assert shared.shared_folder(named) == "hdfs://shared/x"
+    assert shared.fresh_path(named, "a").startswith("hdfs://shared/x/a-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Settings(spark_master="yarn"))
+    own = shared.shared_folder(Settings(spark_master="local[2]"))
+    assert own == shared.shared_folder(Settings(spark_master="local[2]"))
+
+
+def test_stored_is_read_back_whole(spark):
+    df = shared.stored(spark.range(4), "four")
+    assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3]
+    assert df.inputFiles()[0].startswith("file:")
+
+
+def test_spread_shuffles_only_input_in_few_pieces(spark, tmp_path):
+    spark.range(0, 100, 1, 1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100, 1, 16)
+    assert spread(many, "id") is many
