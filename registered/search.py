@@ -11,6 +11,9 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import with_text
+from shelfmark.operators.cells import (
+    best_matches_by_cell, cell_bounds, choose_pivots, write_cells,
+)
 from shelfmark.operators.catalogue import deduplicate, is_live, live_products, product_columns
 from shelfmark.operators.embedding import hashed_words, with_embedding
 from shelfmark.operators.index import embedded, index_changes, refreshed, sync_index
@@ -122,6 +125,17 @@ def search_filtered(spark, folder):
     return best_matches(vectors, queries, 3, "vec_id", where=F.col("label").isin(1, 4, 7))
 
 
+def search_cells(spark, folder):
+    """The nearest to the middle of each label again, from a table laid out by cell."""
+    vectors = table(spark, folder, "embeddings")
+    pivots = choose_pivots(vectors, 16, "vec_id")
+    name = f"cells_{uuid4().hex}"
+    cells = write_cells(vectors, name, pivots, "vec_id", path=fresh_path(spark, "cells"))
+    bounds = stored(cell_bounds(cells), "cell-bounds")
+    queries = _summed(vectors, F.col("label"))
+    return best_matches_by_cell(cells, pivots, bounds, queries, 5, "vec_id")
+
+
 def _texts(spark):
     return spark.createDataFrame(TEXTS, "query_id int, query_text string")
 
@@ -147,6 +161,7 @@ QUERIES = {
     "search_topk": search_topk,
     "search_many": search_many,
     "search_filtered": search_filtered,
+    "search_cells": search_cells,
     "search_text": search_text,
     "search_text_filtered": search_text_filtered,
 }
@@ -293,6 +308,7 @@ WHERE o.text IS DISTINCT FROM n.text""",
     "search_filtered": _ranked_sql(
         _all + " WHERE label IN (1, 4, 7)", _summed_sql("label"), "vec_id", 3
     ),
+    "search_cells": _ranked_sql(_all, _summed_sql("label"), "vec_id", 5),
     "search_text": _text_search_sql(RESULT_COLUMNS, "true"),
     "search_text_filtered": _text_search_sql(["product_name", "age_range"], "age_range = 'kids'"),
 }

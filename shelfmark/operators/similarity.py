@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import batched
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,28 +47,17 @@ def best_matches(
     """
     if where is not None:
         corpus = corpus.filter(where)
-    corpus = corpus.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
-    corpus = corpus.select(F.col(key), F.col(vector).cast("array<float>").alias(vector))
-    schema = T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            T.StructField(key, corpus.schema[key].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    known = queries.filter(F.col(query_key).isNotNull() & F.col(query_vector).isNotNull())
-    rows = known.select(query_key, F.col(query_vector).cast("array<double>")).toLocalIterator()
+    schema = match_schema(corpus, queries, key, query_key)
+    rows = query_vectors(queries, query_key, query_vector).toLocalIterator()
     first = next(rows, None)
     if first is None:
-        empty = corpus.sparkSession.createDataFrame([], schema)
-        return _ranked(empty, k, query_key, key)
-    size = max(1, QUERY_BYTES // (8 * max(1, len(first[1]))))
-    blocks = batched(_chain(first, rows), size)
+        return ranked(corpus.sparkSession.createDataFrame([], schema), k)
+    blocks = batched(chain([first], rows), block_size(len(first[1])))
     block = next(blocks)
     results = []
     while True:
         following = next(blocks, None)
-        result = _one_pass(corpus, block, schema, k)
+        result = one_pass(corpus, block, schema, k, vector)
         if following is None and not results:
             return result
         results.append(stored(result, "matches"))
@@ -77,29 +66,53 @@ def best_matches(
         block = following
 
 
-def _chain(first, rest):
-    yield first
-    yield from rest
+def match_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: str) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(query_key, queries.schema[query_key].dataType),
+            T.StructField(key, corpus.schema[key].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
+def query_vectors(queries: DataFrame, query_key: str, query_vector: str) -> DataFrame:
+    known = queries.filter(F.col(query_key).isNotNull() & F.col(query_vector).isNotNull())
+    return known.select(query_key, F.col(query_vector).cast("array<double>"))
 
 
-def _one_pass(corpus: DataFrame, block, schema: T.StructType, k: int) -> DataFrame:
+def block_size(dim: int) -> int:
+    """How many query vectors go to the tasks at a time."""
+    return max(1, QUERY_BYTES // (8 * max(1, dim)))
+
+
+def usable(corpus: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, vector) of the rows that can be found."""
+    known = corpus.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
+    return known.select(F.col(key), F.col(vector).cast("array<float>").alias(vector))
+
+
+def one_pass(
+    corpus: DataFrame, block: Sequence[Row], schema: T.StructType, k: int, vector: str
+) -> DataFrame:
+    """The k best corpus rows for each query of a block."""
     names = [row[0] for row in block]
     if len(set(names)) != len(names):
         raise ValueError("query keys must be distinct")
-    matrix = _unit(np.array([row[1] for row in block], dtype=np.float64))
-    query_key, key = schema.names[:2]
-    found = corpus.mapInArrow(_scorer(names, matrix, schema, k), schema)
-    return _ranked(found, k, query_key, key)
+    matrix = unit(np.array([row[1] for row in block], dtype=np.float64))
+    rows = usable(corpus, schema.names[1], vector)
+    return ranked(rows.mapInArrow(_scorer(names, matrix, schema, k), schema), k)
 
 
-def _ranked(found: DataFrame, k: int, query_key: str, key: str) -> DataFrame:
-    """The k best per query, first among groups of tasks and then among those."""
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of (query, key, score) per query, first among groups of tasks, then of those."""
+    query_key, key = found.columns[:2]
     best = [F.col("score").desc(), F.col(key)]
-    salted = found.withColumn("_salt", F.spark_partition_id() % SALTS)
     part = Window.partitionBy(query_key, "_salt").orderBy(*best)
     whole = Window.partitionBy(query_key).orderBy(*best)
     return (
-        salted.withColumn("rank", F.row_number().over(part))
+        found.withColumn("_salt", F.spark_partition_id() % SALTS)
+        .withColumn("rank", F.row_number().over(part))
         .filter(F.col("rank") <= k)
         .withColumn("rank", F.row_number().over(whole))
         .filter(F.col("rank") <= k)
@@ -107,7 +120,7 @@ def _ranked(found: DataFrame, k: int, query_key: str, key: str) -> DataFrame:
     )
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def unit(matrix: np.ndarray) -> np.ndarray:
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     usable = np.isfinite(length) & (length > 0)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=usable)
@@ -141,7 +154,7 @@ def _scorer(names: list, queries: np.ndarray, schema: T.StructType, k: int):
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 if len(flat) != part.num_rows * dim:
                     raise ValueError(f"corpus vectors must have {dim} numbers")
-                vectors = _unit(flat.reshape(-1, dim).astype(np.float64))
+                vectors = unit(flat.reshape(-1, dim).astype(np.float64))
                 keys = part.column(0).to_numpy(zero_copy_only=False)
                 scores = np.round(queries @ vectors.T, DIGITS) + 0.0
                 for query in np.flatnonzero(scores.max(axis=1) >= edges):

@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import plan
+from shelfmark.operators import cells
 from shelfmark.operators import index as ix
 from shelfmark.operators import similarity
 from shelfmark.operators.embedding import hashed_words, with_embedding
@@ -160,6 +161,59 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     assert {len(r[2]) for r in found.collect()} == {2}
 
 
+def clustered(spark, n=3000, dim=8, groups=12):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(groups, dim))
+    vectors = (middles[rng.integers(0, groups, n)] + 0.05 * rng.normal(size=(n, dim))).round(3)
+    vectors[: n // 3] = vectors[0]
+    vectors[n - 1] = 0
+    rows = [(str(i), [float(x) for x in v]) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "site_product_identifier string, embedding array<float>"), vectors
+
+
+def written_cells(spark, df, number, tmp_path):
+    pivots = cells.choose_pivots(df, number)
+    path = str(tmp_path / "cells")
+    cells.with_cells(df, pivots).write.partitionBy("cell").parquet(path)
+    laid_out = spark.read.parquet(path)
+    return laid_out, pivots, cells.cell_bounds(laid_out)
+
+
+@pytest.mark.parametrize("k", [1, 3, 1200])
+def test_search_by_cell_equals_the_whole_search(spark, tmp_path, k):
+    df, vectors = clustered(spark)
+    laid_out, pivots, bounds = written_cells(spark, df, 40, tmp_path)
+    queries = query_table(spark, np.vstack([vectors[0], vectors[2500], -vectors[7], np.ones(8), np.zeros(8)]))
+    got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries, k)
+    assert triples(got) == triples(best_matches(df, queries, k))
+
+
+def test_search_by_cell_skips_cells(spark, tmp_path, monkeypatch):
+    df, vectors = clustered(spark)
+    laid_out, pivots, bounds = written_cells(spark, df, 40, tmp_path)
+    read = []
+
+    def counting(corpus, *args):
+        read.append(corpus.select("cell").distinct().count())
+        return similarity.one_pass(corpus, *args)
+
+    monkeypatch.setattr(cells, "one_pass", counting)
+    queries = query_table(spark, vectors[2500:2501])
+    got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries, 3)
+    assert "PartitionFilters: [cell" in plan(laid_out.filter(F.col("cell").isin(1, 2)))
+    assert triples(got) == triples(best_matches(df, queries, 3))
+    assert sum(read) < bounds.count() / 2
+
+
+def test_many_queries_by_cell_search_everything(spark, tmp_path, monkeypatch):
+    df, vectors = clustered(spark, 300)
+    laid_out, pivots, bounds = written_cells(spark, df, 5, tmp_path)
+    monkeypatch.setattr(similarity, "QUERY_BYTES", 2 * 8 * 8)
+    queries = query_table(spark, vectors[100:110])
+    got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries)
+    assert triples(got) == triples(best_matches(df, queries))
+
+
 def test_text_search_returns_columns_in_rank_order(spark):
     gold = products(spark, [("1", "red brick castle"), ("2", "blue car"), ("3", "red car"), ("4", None)])
     gold = gold.withColumn("product_name", F.upper("concatenated_text")).withColumn("n", F.col(gold.columns[0]).cast("int"))
