@@ -174,7 +174,46 @@ _FLAGS = [
     ("space",), ("special",),
 ]
 
+def _hits_sql(category: str) -> str:
+    """The allowed values whose first word is in the text, in order."""
+    values = ", ".join(
+        rf"CASE WHEN regexp_matches(t, '\b{value.split()[0].lower()}\b') THEN '{value}' END"
+        for value in rules.MODEL_TAGS[category]
+    )
+    return f"list_filter([{values}], lambda x: x IS NOT NULL)"
+
+
+_hits = ", ".join(f'{_hits_sql(c)} AS "{c}"' for c in rules.MODEL_TAGS)
+_model_steps = {
+    "hits": f"SELECT site_product_identifier, t, {_hits} FROM "
+    "(SELECT *, lower(concatenated_text) AS t FROM silver)"
+}
+_members = ", ".join(
+    f"""CASE WHEN len("{c}") > 0 THEN '"{c}": ["' || array_to_string("{c}", '", "') || '"]' END"""
+    for c in sorted(rules.MODEL_TAGS)
+)
+# The values that occur in the derived catalogue.
+_OCCURRING = [
+    "Adults", "Advanced", "Books and Comics", "Building Sets", "Building and Construction",
+    "Christmas Gift", "Kids", "Space", "Special Treat", "Star Wars", "Strategy and Puzzle-Solving",
+]
+_model_flags = ", ".join(
+    f"""CAST(CASE WHEN t IS NULL THEN NULL
+      WHEN list_contains("Occasion", '{v}') OR list_contains("Age Range", '{v}') THEN 1
+      WHEN len("Occasion") > 0 AND len("Age Range") > 0 THEN 0 END AS INTEGER)
+      AS "flag_{v.replace(' ', '_')}" """
+    for v in _OCCURRING
+)
+
 ORACLES = {
+    "model_tags": with_steps(
+        "silver",
+        f"SELECT {KEY}, CASE WHEN t IS NOT NULL THEN '```{{' || array_to_string(list_filter("
+        f"[{_members}], lambda x: x IS NOT NULL), ', ') || '}}```' END AS tagged_description "
+        "FROM hits",
+        _model_steps,
+    ),
+    "model_flags": with_steps("silver", f"SELECT {KEY}, {_model_flags} FROM hits", _model_steps),
     "prompt_render": "SELECT conv_id, turn, replace('"
     + rules.MODEL_PROMPT.replace("'", "''")
     + f"', '{rules.DESCRIPTION_SLOT}', text) AS system_prompt, "

@@ -141,14 +141,14 @@ def _texts(spark):
 
 
 def search_text(spark, folder):
-    gold = regex_gold(silver_catalogue(spark, folder))
-    index = embedded(gold, _embedder)
+    gold = stored(regex_gold(silver_catalogue(spark, folder)), "gold")
+    index = stored(embedded(gold, _embedder), "index")
     return search(index, gold, _texts(spark), _embedder)
 
 
 def search_text_filtered(spark, folder):
-    gold = regex_gold(silver_catalogue(spark, folder))
-    index = embedded(gold, _embedder)
+    gold = stored(regex_gold(silver_catalogue(spark, folder)), "gold")
+    index = stored(embedded(gold, _embedder), "index")
     columns = ["product_name", "age_range"]
     return search(index, gold, _texts(spark), _embedder, columns, where=F.col("age_range") == "kids")
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..sources.shared import stored
 from .catalogue import KEY
 from .similarity import (
-    best_matches, block_size, match_schema, one_pass, query_vectors, ranked, unit, usable,
+    best_matches, few_queries, match_schema, one_pass, query_vectors, ranked, unit, usable,
 )
 
 # Cells a corpus may have; their pivots and bounds are handled on the driver.
@@ -114,9 +114,8 @@ def best_matches_by_cell(
     Meant for few queries on a large corpus. More queries than fit in one block
     would need nearly every cell between them and get a search of everything.
     """
-    most = block_size(pivots.shape[1])
-    asked = query_vectors(queries, query_key, query_vector).limit(most + 1).collect()
-    if len(asked) > most or not asked:
+    asked = few_queries(query_vectors(queries, query_key, query_vector))
+    if not asked:
         return best_matches(cells, queries, k, key, vector, query_key, query_vector)
     schema = match_schema(cells, queries, key, query_key)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import batched, chain
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,9 @@ from .catalogue import KEY
 # Scores are compared to this many decimals, so that equal vectors tie whatever
 # batch they are in, and the key decides between them.
 DIGITS = 9
-# Query vectors sent to every task at a time, and scores held in a task at a time.
-QUERY_BYTES = 32 << 20
+# Query vectors sent to every task at a time (16 MB at 1024 numbers each), and
+# scores held in a task at a time.
+QUERIES = 2048
 SCORES = 4 << 20
 SALTS = 64
 
@@ -40,7 +41,7 @@ def best_matches(
     Every corpus row is scored, in one pass per block of queries, and no pair
     is ever a row: each task keeps its k best per query while it reads, and
     only those are shuffled. A block of queries is sent to the tasks and is
-    bounded in bytes; a larger query table takes several passes, with the
+    bounded in number; a larger query table takes several passes, with the
     result of each written out before the next. ``where`` filters the corpus
     at the scan. Query keys must be distinct. A vector of length 0, or with a
     number missing, scores 0.
@@ -48,22 +49,13 @@ def best_matches(
     if where is not None:
         corpus = corpus.filter(where)
     schema = match_schema(corpus, queries, key, query_key)
-    rows = query_vectors(queries, query_key, query_vector).toLocalIterator()
-    first = next(rows, None)
-    if first is None:
-        return ranked(corpus.sparkSession.createDataFrame([], schema), k)
-    blocks = batched(chain([first], rows), block_size(len(first[1])))
-    block = next(blocks)
-    results = []
-    while True:
-        following = next(blocks, None)
-        result = one_pass(corpus, block, schema, k, vector)
-        if following is None and not results:
-            return result
-        results.append(stored(result, "matches"))
-        if following is None:
-            return reduce(DataFrame.unionByName, results)
-        block = following
+    asked = query_vectors(queries, query_key, query_vector)
+    few = few_queries(asked)
+    if few is not None:
+        return one_pass(corpus, few, schema, k, vector)
+    blocks = batched(stored(asked, "queries").toLocalIterator(), QUERIES)
+    passes = (one_pass(corpus, block, schema, k, vector) for block in blocks)
+    return reduce(DataFrame.unionByName, (stored(found, "matches") for found in passes))
 
 
 def match_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: str) -> T.StructType:
@@ -81,9 +73,10 @@ def query_vectors(queries: DataFrame, query_key: str, query_vector: str) -> Data
     return known.select(query_key, F.col(query_vector).cast("array<double>"))
 
 
-def block_size(dim: int) -> int:
-    """How many query vectors go to the tasks at a time."""
-    return max(1, QUERY_BYTES // (8 * max(1, dim)))
+def few_queries(asked: DataFrame) -> list[Row] | None:
+    """The query vectors if they fit in one block, else None."""
+    rows = asked.limit(QUERIES + 1).collect()
+    return rows if len(rows) <= QUERIES else None
 
 
 def usable(corpus: DataFrame, key: str, vector: str) -> DataFrame:
@@ -96,6 +89,8 @@ def one_pass(
     corpus: DataFrame, block: Sequence[Row], schema: T.StructType, k: int, vector: str
 ) -> DataFrame:
     """The k best corpus rows for each query of a block."""
+    if not block:
+        return ranked(corpus.sparkSession.createDataFrame([], schema), k)
     names = [row[0] for row in block]
     if len(set(names)) != len(names):
         raise ValueError("query keys must be distinct")
@@ -133,6 +128,14 @@ def _scorer(names: list, queries: np.ndarray, schema: T.StructType, k: int):
     arrow = to_arrow_schema(schema)
     count, dim = queries.shape
 
+    def cosines(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore"):
+            length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+            products = units @ vectors.T
+        usable = np.isfinite(length) & (length > 0)
+        ratio = np.divide(products, length, out=np.zeros_like(products), where=usable)
+        return np.round(ratio, DIGITS) + 0.0
+
     def keep_best(scores: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(scores) <= k:
             return scores, keys
@@ -154,9 +157,8 @@ def _scorer(names: list, queries: np.ndarray, schema: T.StructType, k: int):
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 if len(flat) != part.num_rows * dim:
                     raise ValueError(f"corpus vectors must have {dim} numbers")
-                vectors = unit(flat.reshape(-1, dim).astype(np.float64))
                 keys = part.column(0).to_numpy(zero_copy_only=False)
-                scores = np.round(queries @ vectors.T, DIGITS) + 0.0
+                scores = cosines(queries, flat.reshape(-1, dim).astype(np.float64))
                 for query in np.flatnonzero(scores.max(axis=1) >= edges):
                     near = np.flatnonzero(scores[query] >= edges[query])
                     new_scores, new_keys = scores[query][near], keys[near]

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators.catalogue import KEY
 from ..operators.embedding import Embedder, with_embedding
-from ..operators.similarity import best_matches
+from ..operators.similarity import (
+    best_matches, few_queries, match_schema, one_pass, query_vectors,
+)
 
 # What a search returns by default.
 RESULT_COLUMNS = [
@@ -40,11 +42,14 @@ def search(
     """
     if where is not None:
         index = index.join(gold.filter(where).select(key), key, "left_semi")
-    queries = with_embedding(texts, make_embedder, "query_text").select("query_id", "embedding")
-    matches = best_matches(index, queries, k, key)
-    most = BROADCAST_ROWS // k
-    if texts.limit(most + 1).count() <= most:
-        matches = F.broadcast(matches)
+    queries = with_embedding(texts, make_embedder, "query_text")
+    asked = query_vectors(queries, "query_id", "embedding")
+    few = few_queries(asked)
+    if few is not None and len(few) * k <= BROADCAST_ROWS:
+        schema = match_schema(index, texts, key, "query_id")
+        matches = F.broadcast(one_pass(index, few, schema, k, "embedding"))
+    else:
+        matches = best_matches(index, asked, k, key)
     return (
         matches.join(gold.select(key, *columns), key)
         .select("query_id", "rank", key, *columns, "score")

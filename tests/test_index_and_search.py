@@ -127,7 +127,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     df, vectors = corpus(spark)
     queries = vectors[:7]
     whole = triples(best_matches(df, query_table(spark, queries)))
-    monkeypatch.setattr(similarity, "QUERY_BYTES", 2 * 8 * 8)
+    monkeypatch.setattr(similarity, "QUERIES", 2)
     monkeypatch.setattr(similarity, "SCORES", 50)
     assert triples(best_matches(df, query_table(spark, queries))) == whole == brute(vectors, queries, 3)
 
@@ -208,7 +208,7 @@ def test_search_by_cell_skips_cells(spark, tmp_path, monkeypatch):
 def test_many_queries_by_cell_search_everything(spark, tmp_path, monkeypatch):
     df, vectors = clustered(spark, 300)
     laid_out, pivots, bounds = written_cells(spark, df, 5, tmp_path)
-    monkeypatch.setattr(similarity, "QUERY_BYTES", 2 * 8 * 8)
+    monkeypatch.setattr(similarity, "QUERIES", 2)
     queries = query_table(spark, vectors[100:110])
     got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries)
     assert triples(got) == triples(best_matches(df, queries))
