@@ -11,8 +11,10 @@ TAG_MAP = "map<string,array<string>>"
 
 # What is cut from model output, in order.
 CUTS = [("```", ""), ("[{", "{"), ("}]", "}")]
-# All Unicode whitespace and the four separator controls, at either end.
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All Unicode whitespace and the four separator controls, at either end. The
+# look-behind starts the second part at the head of a run of blanks only.
+BLANK = r"[\s\x1c-\x1f]"
+EDGE_SPACE = rf"(?U)\A{BLANK}+|(?<!{BLANK}){BLANK}+\z"
 
 # A strict reader: no single quotes, no NaN.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}

@@ -73,9 +73,10 @@ def refreshed(
         F.col(key).alias("_key"), F.col("text_hash").alias("_hash")
     )
     rows = indexable(source, key, text).select(key, text)
-    changed = rows.join(
-        wanted, (F.col(key) == F.col("_key")) & (F.xxhash64(text) == F.col("_hash"))
-    ).select(key, text)
+    # Written as no plain equality, the hash test is not a join key: the join
+    # stays on the key alone, which a source bucketed by key is laid out for.
+    same_text = F.xxhash64(text).bitwiseXOR(F.col("_hash")) == 0
+    changed = rows.join(wanted, (F.col(key) == F.col("_key")) & same_text).select(key, text)
     kept = index.join(changes.select(key), key, "left_anti")
     once = deduplicate(changed, key)
     return kept.select(key, "text_hash", "embedding").unionByName(
@@ -99,12 +100,13 @@ def sync_index(
     bucketed alike needs no shuffle.
     """
     spark = source.sparkSession
-    if spark.catalog.tableExists(name):
-        index = spark.table(name)
-    else:
-        kind = source.schema[key].dataType.simpleString()
-        index = spark.createDataFrame([], f"`{key}` {kind}, text_hash bigint, embedding array<float>")
+    bucket_by = (buckets, key) if buckets else None
+    if not spark.catalog.tableExists(name):
+        rows = indexable(source, key, text).select(key, text)
+        once = deduplicate(rows, key, [F.xxhash64(text).desc()])
+        index = publish(embedded(once, make_embedder, key, text), name, bucket_by)
+        return index.select(key, F.lit("insert").alias("change"))
+    index = spark.table(name)
     changes = stored(index_changes(source, index, key, text), "index-changes")
-    new = refreshed(source, index, changes, make_embedder, key, text)
-    publish(new, name, bucket_by=(buckets, key) if buckets else None)
+    publish(refreshed(source, index, changes, make_embedder, key, text), name, bucket_by)
     return changes.select(key, "change")

@@ -15,7 +15,7 @@ TEXTS = [
     '{"a":["x"],"a":["y"]}', '```{"a":["x"],"b":["z"],"a":["y"]}```', '[{"a":["x"]}]',
     '[ {"a":["x"]} ]', '[{"a":["x"]},{"b":["y"]}]', '```json{"a":["x"]}```', "{'a':['x']}",
     "```{'a':['x']}```", '```{"a":["x\ny"]}```', '{"a":["caf\\u00e9 é"]}', '{"a":["x"],}',
-    '{"a":[01]}', ' ```{"a":["x"]}``` ', '\x1f{"a":["x"]}\x1c', '{"z":["1"],"a":["2"]}',
+    '{"a":[01]}', ' ' * 20_000 + 'x' + ' ' * 20_000 + 'y\n', '\u3000{"a":["x"]}\xa0\n', ' ```{"a":["x"]}``` ', '\x1f{"a":["x"]}\x1c', '{"z":["1"],"a":["2"]}',
 ]
 
 
