@@ -119,57 +119,28 @@ QUERIES = {
 }
 
 
-# The SQL side spells its patterns out instead of taking them from the rules.
-BOUNDED_SQL = rf"""
-SELECT *,
-  regexp_extract({CLEAN}, '\b(christmas|birthday|holiday|everyday|special treat)\b') AS occasion_type,
-  regexp_extract({CLEAN}, '\b(preschool|kids|teenagers|adults)\b') AS age_range,
-  regexp_extract({CLEAN}, '\b(adventure|animals|cars|trucks|fantasy|space|superheroes)\b') AS theme_type,
-  regexp_extract({CLEAN}, '\b(beginner|intermediate|advanced)\b') AS skill_level,
-  regexp_extract({CLEAN}, '\b(building|construction|imaginative|action|adventure|strategy|puzzle)\b') AS play_style,
-  regexp_extract({CLEAN}, '\b(star wars|harry potter|marvel|dc|comics|disney|pixar)\b') AS franchise_type,
-  regexp_extract({CLEAN}, '\b(building sets|vehicles|minifigures|accessories|books|%s)\b') AS product_type
-FROM clean"""
-
-SUBSTRING_SQL = f"""
-SELECT *,
-  regexp_extract({CLEAN}, 'christmas|birthday|holiday|everyday|special|treat|gift') AS occasion_type,
-  regexp_extract({CLEAN}, 'preschool|kids|teenagers|adults') AS age_range,
-  regexp_extract({CLEAN}, 'adventure|animals|cars|trucks|fantasy|space|superheroes') AS theme_type,
-  regexp_extract({CLEAN}, 'beginner|intermediate|advanced') AS skill_level,
-  regexp_extract({CLEAN}, 'building|construction|imaginative|action|adventure|strategy|puzzle') AS play_type,
-  regexp_extract({CLEAN}, 'star wars|harry potter|marvel|dc comics|disney|pixar') AS franchise_type,
-  regexp_extract({CLEAN}, 'building|sets|vehicles|minifigures|accessories|books|comics') AS product_type
-FROM clean"""
-
-# Last to first: the first of these that matches is the category.
-CASCADE_SQL = [
-    "building|sets|vehicles|minifigures|accessories|books|comics",
-    "star wars|harry|potter|marvel|dc|comics|disney|pixar",
-    "building|construction|imaginative|play|action|adventure|strategy|puzzle",
-    "beginner|intermediate|advanced",
-    "adventure|animals|cars and trucks|fantasy|space|superheroes",
-    "preschool|kids|teenagers|adults",
-    "christmas|birthday|holiday|everyday|special|treat",
-]
-
-FLAG_SQL = {
-    "play_type": ["action", "strategy", "construction", "building"],
-    "franchise_type": ["star wars", "disney", "marvel", "harry potter"],
-    "occasion_type": ["special", "holiday", "gift", "christmas", "everyday", "birthday", "treat"],
-    "product_type": ["minifigures", "accessories", "sets", "vehicles", "comics"],
-    "theme_type": ["animals", "adventure", "trucks", "space", "cars"],
-    "age_range": ["kids", "adults"],
-    "skill_level": ["advanced"],
-}
+def _tags_sql(patterns: dict[str, str]) -> str:
+    """The SQL side matches the plain words, without the look-ahead."""
+    found = ", ".join(f"regexp_extract({CLEAN}, '{p}') AS {tag}" for tag, p in patterns.items())
+    return f"SELECT *, {found} FROM clean"
+
+
+def _bounded_sql(fold_case: bool) -> str:
+    words = {tag: "|".join(some) for tag, some in rules.BOUNDED_TAGS.items()}
+    return _tags_sql(
+        {tag: rf"\b({w.lower() if fold_case else w})\b" for tag, w in words.items()}
+    )
+
+
+SUBSTRING_SQL = _tags_sql({tag: "|".join(some) for tag, some in rules.SUBSTRING_TAGS.items()})
+BOUNDED_SQL = _bounded_sql(fold_case=True)
 
 
 def _flags_sql() -> str:
     return ", ".join(
-        f"CAST(CASE WHEN {tag} = '{value}' THEN 1 ELSE 0 END AS INTEGER) "
+        f"CAST(CASE WHEN '{value}' IN ({', '.join(sources)}) THEN 1 ELSE 0 END AS INTEGER) "
         f"AS {value.replace(' ', '_')}_flag"
-        for tag, values in FLAG_SQL.items()
-        for value in values
+        for value, sources in rules.FLAG_SOURCES.items()
     )
 
 
@@ -182,16 +153,17 @@ def _coverage_sql(tag_names) -> str:
 
 
 def _category_sql() -> str:
+    """Asks the categories from the last to the first."""
     whens = " ".join(
         f"WHEN regexp_matches(concatenated_text_lower, '{p}') "
         f"THEN regexp_extract(concatenated_text_lower, '{p}')"
-        for p in CASCADE_SQL
+        for p in ("|".join(some) for some in reversed(rules.CASCADE_TAGS.values()))
     )
     return f"CASE {whens} ELSE 'Unknown' END AS category"
 
 
-_bounded = {"tagged": BOUNDED_SQL % "comics"}
-_as_written = {"tagged": BOUNDED_SQL % "Comics"}
+_bounded = {"tagged": BOUNDED_SQL}
+_as_written = {"tagged": _bounded_sql(fold_case=False)}
 _substring = {"tagged": SUBSTRING_SQL}
 _bounded_names = ", ".join(rules.BOUNDED_TAGS)
 _substring_names = ", ".join(rules.SUBSTRING_TAGS)

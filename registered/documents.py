@@ -67,7 +67,7 @@ SELECT *, regexp_replace(cleaned_text, '[^a-zA-Z0-9\s]', '', 'g') AS new_concate
 FROM (SELECT *, regexp_replace(concatenated_text_lower, '[.,!?]', '', 'g') AS cleaned_text
       FROM (SELECT *, lower(text) AS concatenated_text_lower FROM documents)))"""
 _tagged = f"WITH {_clean}, tagged AS ({SUBSTRING_SQL})\n"
-_bounded = f"WITH {_clean}, tagged AS ({BOUNDED_SQL % 'comics'})\n"
+_bounded = f"WITH {_clean}, tagged AS ({BOUNDED_SQL})\n"
 
 ORACLES = {
     "documents_clean": f"WITH {_clean} SELECT doc_id, cleaned_text, {CLEAN} FROM clean",

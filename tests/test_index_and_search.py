@@ -224,3 +224,15 @@ def test_text_search_returns_columns_in_rank_order(spark):
     assert rows[0].product_name == "RED CAR" and rows[2].product_name == "RED BRICK CASTLE"
     some = search(index, gold, texts, lambda: hashed_words(256), ["product_name"], where=F.col("n") < 3)
     assert {r[2] for r in some.collect()} == {"1", "2"}
+
+
+def test_many_texts_find_the_same(spark, monkeypatch):
+    gold = products(spark, [(str(i), f"word{i % 7} brick{i % 3} car{i}") for i in range(60)])
+    index = ix.embedded(gold, embedder)
+    texts = spark.createDataFrame(
+        [(i, f"word{i} car{i}") for i in range(5)], "query_id int, query_text string"
+    )
+    once = search(index, gold, texts, embedder, ["concatenated_text"]).collect()
+    monkeypatch.setattr(similarity, "QUERIES", 2)
+    assert search(index, gold, texts, embedder, ["concatenated_text"]).collect() == once
+    assert len(once) == 15
