@@ -136,6 +136,15 @@ def search_cells(spark, folder):
     return best_matches_by_cell(cells, pivots, bounds, queries, 5, "vec_id")
 
 
+def search_documents(spark, folder):
+    """The documents nearest to each benchmark passage."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    index = with_embedding(spread(documents, "doc_id"), _embedder, "text")
+    passages = table(spark, folder, "benchmark")
+    queries = with_embedding(passages, _embedder, "text")
+    return best_matches(index, queries, 3, "doc_id", query_key="item_id")
+
+
 def _texts(spark):
     return spark.createDataFrame(TEXTS, "query_id int, query_text string")
 
@@ -162,6 +171,7 @@ QUERIES = {
     "search_many": search_many,
     "search_filtered": search_filtered,
     "search_cells": search_cells,
+    "search_documents": search_documents,
     "search_text": search_text,
     "search_text_filtered": search_text_filtered,
 }
@@ -259,19 +269,25 @@ _texts_sql = " UNION ALL ".join(
 )
 
 
+def _query_steps(source: str, key: str, text: str) -> dict[str, str]:
+    """The steps of an embedding again, under names of their own."""
+    steps = _embed_steps(source, key, text)
+    renamed = {}
+    for name, sql in steps.items():
+        for step in steps:
+            sql = sql.replace(f"FROM {step}", f"FROM query_{step}").replace(
+                f"JOIN {step} ON {step}.id", f"JOIN query_{step} AS {step} ON {step}.id"
+            )
+        renamed[f"query_{name}"] = sql
+    return renamed
+
+
 def _text_search_sql(columns: list[str], where: str) -> str:
     names = [name for name in STEPS]
     steps = {name: STEPS[name] for name in names} | {"tagged": SUBSTRING_SQL}
     corpus = _embed_steps("tagged", KEY, "concatenated_text")
     steps |= corpus
-    queries = _embed_steps("texts", "query_id", "query_text")
-    steps |= {"texts": _texts_sql}
-    for name, sql in queries.items():
-        for step in queries:
-            sql = sql.replace(f"FROM {step}", f"FROM query_{step}").replace(
-                f"JOIN {step} ON {step}.id", f"JOIN query_{step} AS {step} ON {step}.id"
-            )
-        steps[f"query_{name}"] = sql
+    steps |= {"texts": _texts_sql} | _query_steps("texts", "query_id", "query_text")
     steps["matches"] = _topk_sql(
         f"SELECT id AS {KEY}, embedding FROM vectors "
         f"WHERE id IN (SELECT {KEY} FROM tagged WHERE {where})",
@@ -309,6 +325,17 @@ WHERE o.text IS DISTINCT FROM n.text""",
         _all + " WHERE label IN (1, 4, 7)", _summed_sql("label"), "vec_id", 3
     ),
     "search_cells": _ranked_sql(_all, _summed_sql("label"), "vec_id", 5),
+    "search_documents": _with(
+        _embed_steps("documents", "doc_id", "text") | _query_steps("benchmark", "item_id", "text"),
+        f"SELECT query_id AS item_id, {_rank}, doc_id, score FROM ("
+        + _topk_sql(
+            "SELECT id AS doc_id, embedding FROM vectors",
+            "SELECT id AS query_id, embedding FROM query_vectors",
+            "doc_id",
+            3,
+        )
+        + ")",
+    ),
     "search_text": _text_search_sql(RESULT_COLUMNS, "true"),
     "search_text_filtered": _text_search_sql(["product_name", "age_range"], "age_range = 'kids'"),
 }

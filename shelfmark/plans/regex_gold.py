@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import SUBSTRING_TAGS
 from ..functions.tags import with_flags, with_substring_tags
 from ..functions.text import with_clean_text
+from ..operators.catalogue import KEY
 from ..operators.report import tag_coverage
 from ..sources.tables import read_table, write_table
 
@@ -16,9 +17,20 @@ def regex_gold(silver: DataFrame) -> DataFrame:
     return with_flags(with_substring_tags(with_clean_text(silver)))
 
 
-def tag_catalogue(spark: SparkSession, silver_table: str, gold_table: str) -> DataFrame:
-    """Write the gold table, keeping columns that only an earlier version has."""
-    return write_table(regex_gold(read_table(spark, silver_table)), gold_table, merge_schema=True)
+def tag_catalogue(
+    spark: SparkSession, silver_table: str, gold_table: str, buckets: int | None = None
+) -> DataFrame:
+    """Write the gold table, keeping columns that only an earlier version has.
+
+    ``buckets`` lays it out by product, so that looking up a few products, as a
+    search does for its matches, reads a few buckets; it costs a shuffle here.
+    """
+    return write_table(
+        regex_gold(read_table(spark, silver_table)),
+        gold_table,
+        merge_schema=True,
+        bucket_by=(buckets, KEY) if buckets else None,
+    )
 
 
 def coverage(gold: DataFrame) -> DataFrame:

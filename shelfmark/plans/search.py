@@ -20,8 +20,10 @@ RESULT_COLUMNS = [
 ]
 RESULTS = 3
 
-# Winners up to this many are broadcast to the gold table's scan.
+# Matches of up to this many rows are brought to the driver and broadcast to the
+# scan of the gold table; up to this many keys also select what it reads.
 BROADCAST_ROWS = 100_000
+SELECTING_KEYS = 1_000
 
 
 def search(
@@ -37,8 +39,11 @@ def search(
     """The k best products of each query text, with the asked-for columns.
 
     ``texts`` has (query_id, query_text). Scoring reads key and vector only;
-    the columns of the few winners are joined on afterwards. ``where`` is a
-    condition on gold columns that limits what is searched.
+    the columns of the few matches are joined on afterwards. Their keys select
+    what is read: buckets of a gold table bucketed by key, row groups of a
+    sorted one. ``where`` is a condition on gold columns that limits what is
+    searched. The search runs when this is called, unless its matches are too
+    many to broadcast.
     """
     if where is not None:
         index = index.join(gold.filter(where).select(key), key, "left_semi")
@@ -47,7 +52,12 @@ def search(
     few = few_queries(asked)
     if few is not None and len(few) * k <= BROADCAST_ROWS:
         schema = match_schema(index, texts, key, "query_id")
-        matches = F.broadcast(one_pass(index, few, schema, k, "embedding"))
+        found = one_pass(index, few, schema, k, "embedding")
+        rows = found.collect()
+        matches = F.broadcast(index.sparkSession.createDataFrame(rows, found.schema))
+        keys = sorted({row[key] for row in rows})
+        if len(keys) <= SELECTING_KEYS:
+            gold = gold.filter(F.col(key).isin(keys))
     else:
         matches = best_matches(index, asked, k, key)
     return (

@@ -49,7 +49,7 @@ def test_the_whole_way_twice(spark, tmp_path):
             folder.mkdir()
             (folder / "c.csv").write_text(HEADER + "\n".join(lines) + "\n")
             silver = ingest(spark, str(folder), "silver", ["product_name"], buckets=4)
-            gold = tag_catalogue(spark, "silver", "gold")
+            gold = tag_catalogue(spark, "silver", "gold", buckets=64)
             tagged = tag_with_model(spark, "silver", "answers", "model_gold", rule_model)
             changes = sync_index(silver, "idx", embedder, buckets=4)
             changed = {r[0]: r.change for r in changes.collect()}
@@ -103,3 +103,33 @@ def test_synced_layout_needs_no_shuffle_for_the_diff(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         spark.catalog.setCurrentDatabase(before)
         spark.sql("DROP DATABASE test_layout CASCADE")
+
+
+def test_search_reads_only_the_buckets_of_its_matches(spark, tmp_path):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from shelfmark.operators.index import embedded
+    from shelfmark.sources.tables import write_table
+
+    rows = spark.range(300).select(
+        F.col("id").cast("string").alias("site_product_identifier"),
+        F.concat(F.lit("word"), "id").alias("concatenated_text"),
+    )
+    gold = write_table(
+        rows, "bucketed_gold", bucket_by=(64, "site_product_identifier"), path=str(tmp_path / "g")
+    )
+    texts = spark.createDataFrame([(1, "word7")], "query_id int, query_text string")
+    index = embedded(rows, embedder)
+    expected = search(index, gold, texts, embedder, ["concatenated_text"]).collect()
+    keys = [r.site_product_identifier for r in expected]
+    held = gold.filter(F.col("site_product_identifier").isin(keys))
+    needed = {urlparse(r[0]).path for r in held.select(F.input_file_name()).collect()}
+    assert 0 < len(needed) <= 3
+    for name in gold.inputFiles():
+        if urlparse(name).path not in needed:
+            Path(urlparse(name).path).write_bytes(b"not to be read")
+    spark.catalog.refreshTable("bucketed_gold")
+    gold = spark.table("bucketed_gold")
+    assert search(index, gold, texts, embedder, ["concatenated_text"]).collect() == expected
+    spark.sql("DROP TABLE bucketed_gold")
