@@ -30,24 +30,23 @@ def unwrapped(text: Column) -> Column:
 def with_repaired_json(df: DataFrame, text: str, out: str) -> DataFrame:
     """Unwrapped, re-serialised JSON; text that is not one valid value is kept as it was.
 
-    A value is valid when it parses strictly both as the only member of an
-    object and as the only item of a list; one wrapper alone would let text
-    through that closes the wrapper early. Keys keep their order and repeats.
+    The text is read strictly as the first item of a list whose second item is
+    the text's own hash. It is one valid value if exactly these two items come
+    back: words after the value, several values, or brackets that close the
+    list early give something else. Keys keep their order and repeats.
     """
-    core = F.col("_core")
-    member = F.from_json(F.concat(F.lit('{"v":'), core, F.lit("}")), "v string", STRICT)
-    items = F.from_json(F.concat(F.lit("["), core, F.lit("]")), "array<string>", STRICT)
-    parsed = df.withColumn("_core", unwrapped(F.col(text))).withColumns(
-        {"_member": member["v"], "_single": F.size(items) == 1}
+    core, items, mark = F.col("_core"), F.col("_items"), F.md5("_core")
+    listed = F.concat(F.lit("["), core, F.lit(',"'), mark, F.lit('"]'))
+    read = df.withColumn("_core", unwrapped(F.col(text))).withColumn(
+        "_items", F.from_json(listed, "array<string>", STRICT)
     )
-    return parsed.withColumn(
+    valid = (F.size(items) == 2) & (F.get(items, F.lit(1)) == mark)
+    return read.withColumn(
         out,
-        F.when(
-            F.col("_single") & core.rlike(r"^[\[{]"), F.coalesce(F.col("_member"), F.col(text))
-        )
-        .when(F.col("_single") & (F.col("_member").isNotNull() | (core == "null")), core)
+        F.when(valid & core.rlike(r"^[\[{]"), F.get(items, F.lit(0)))
+        .when(valid, core)
         .otherwise(F.col(text)),
-    ).drop("_core", "_member", "_single")
+    ).drop("_core", "_items")
 
 
 def with_tag_map(df: DataFrame, text: str, out: str) -> DataFrame:
