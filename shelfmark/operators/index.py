@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from ..sources.tables import publish
+from ..sources.tables import bucketed_by, newest_version, publish
 from .catalogue import KEY, deduplicate
 from .embedding import Embedder, with_embedding
 
@@ -67,8 +67,13 @@ def refreshed(
     make_embedder: Callable[[], Embedder],
     key: str = KEY,
     text: str = TEXT,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """The index after the changes; only new and changed texts are embedded."""
+    """The index after the changes; only new and changed texts are embedded.
+
+    ``buckets`` gives the changed rows the layout of an index bucketed by key,
+    so that the unchanged ones can be written without a shuffle.
+    """
     wanted = changes.filter(F.col("change") != "delete").select(
         F.col(key).alias("_key"), F.col("text_hash").alias("_hash")
     )
@@ -79,6 +84,8 @@ def refreshed(
     changed = rows.join(wanted, (F.col(key) == F.col("_key")) & same_text).select(key, text)
     kept = index.join(changes.select(key), key, "left_anti")
     once = deduplicate(changed, key)
+    if buckets is not None:
+        once = once.repartition(buckets, key)
     return kept.select(key, "text_hash", "embedding").unionByName(
         embedded(once, make_embedder, key, text)
     )
@@ -108,5 +115,8 @@ def sync_index(
         return index.select(key, F.lit("insert").alias("change"))
     index = spark.table(name)
     changes = stored(index_changes(source, index, key, text), "index-changes")
-    publish(refreshed(source, index, changes, make_embedder, key, text), name, bucket_by)
+    present = newest_version(spark, name)
+    alike = buckets is not None and present and bucketed_by(spark, present) == bucket_by
+    new = refreshed(source, index, changes, make_embedder, key, text, buckets if alike else None)
+    publish(new, name, bucket_by, shuffle=not alike)
     return changes.select(key, "change")

@@ -21,7 +21,8 @@ def ingest(
 ) -> DataFrame:
     """Read, filter, deduplicate and join the text; returns the silver table.
 
-    ``buckets`` lays the table out by product, for index syncs without a shuffle.
+    ``buckets`` lays the table out by product, for index syncs without a
+    shuffle. The layout comes from the deduplication's own shuffle.
     """
     frame = silver(read_catalogue(spark, path, **csv_options), order)
-    return write_table(frame, table, bucket_by=(buckets, KEY) if buckets else None)
+    return write_table(frame, table, bucket_by=(buckets, KEY) if buckets else None, shuffle=False)

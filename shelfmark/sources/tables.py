@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,7 @@ def write_table(
     name: str,
     merge_schema: bool = False,
     bucket_by: tuple[int, str] | None = None,
+    shuffle: bool = True,
     path: str | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
@@ -70,22 +72,59 @@ def write_table(
     ``bucket_by`` (number, column) lays the rows out so that later joins and
     groupings on that column need no shuffle. Give it a column with few rows
     per value, such as a key: each bucket is written by one task as one file.
+    ``shuffle=False`` saves the shuffle for it where the frame has the layout
+    anyway: its last step is a shuffle by that column, as a deduplication is,
+    or it only scans tables bucketed alike.
     """
     if merge_schema:
         df = merged_with(df, name)
-    writer = df.write.format(fmt).mode("overwrite")
+    layout = {}
     if bucket_by is not None:
         number, column = bucket_by
-        writer = df.repartition(number, column).write.format(fmt).mode("overwrite")
+        if shuffle:
+            df = df.repartition(number, column)
+        else:
+            layout = {
+                "spark.sql.shuffle.partitions": str(number),
+                "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+            }
+    writer = df.write.format(fmt).mode("overwrite")
+    if bucket_by is not None:
         writer = writer.bucketBy(number, column).sortBy(column)
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with _settings(df.sparkSession, layout):
+        writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
+@contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def bucketed_by(spark: SparkSession, name: str) -> tuple[int, str] | None:
+    """Number of buckets and column of a table bucketed by one column."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}").collect()}
+    columns = about.get("Bucket Columns", "").strip("[]").replace("`", "").split(", ")
+    if "Num Buckets" not in about or len(columns) != 1:
+        return None
+    return int(about["Num Buckets"]), columns[0]
+
+
 def publish(
-    df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None, keep: int = 2
+    df: DataFrame,
+    name: str,
+    bucket_by: tuple[int, str] | None = None,
+    shuffle: bool = True,
+    keep: int = 2,
 ) -> DataFrame:
     """Write a new version of a table and point the view ``name`` at it.
 
@@ -96,27 +135,33 @@ def publish(
     """
     spark = df.sparkSession
     versions = _versions(spark, name)
-    number = 1 + max((n for n, _ in versions), default=0)
+    number = 1 + (versions[-1][0] if versions else 0)
     version = f"{name}__v{number:06d}_{uuid4().hex[:8]}"
-    write_table(df, version, bucket_by=bucket_by)
+    write_table(df, version, bucket_by=bucket_by, shuffle=shuffle)
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}")
-    prefix = name.rpartition(".")[0]
-    for _, old in sorted(versions)[: max(0, len(versions) + 1 - keep)]:
-        spark.sql(f"DROP TABLE {_quoted(f'{prefix}.{old}' if prefix else old)}")
+    for _, old in versions[: max(0, len(versions) + 1 - keep)]:
+        spark.sql(f"DROP TABLE {_quoted(old)}")
     return spark.table(name)
 
 
+def newest_version(spark: SparkSession, name: str) -> str | None:
+    """The table behind a published view."""
+    versions = _versions(spark, name)
+    return versions[-1][1] if versions else None
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
 def _versions(spark: SparkSession, name: str) -> list[tuple[int, str]]:
+    """Number and full name of the versions of a published table, oldest first."""
     prefix, _, base = name.rpartition(".")
     place = f" IN {_quoted(prefix)}" if prefix else ""
-    rows = spark.sql(f"SHOW TABLES{place} LIKE '{base.lower()}__v*'").collect()
     found = []
-    for row in rows:
-        number = row["tableName"][len(base) + 3 :].split("_")[0]
+    for row in spark.sql(f"SHOW TABLES{place} LIKE '{base.lower()}__v*'").collect():
+        table = row["tableName"]
+        number = table[len(base) + 3 :].split("_")[0]
         if number.isdigit():
-            found.append((int(number), row["tableName"]))
-    return found
+            found.append((int(number), f"{prefix}.{table}" if prefix else table))
+    return sorted(found)

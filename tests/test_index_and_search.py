@@ -70,6 +70,9 @@ def test_sync_creates_then_embeds_only_what_changed(spark, tmp_path):
         assert seen.value == 6
         fresh = {r[0]: r.embedding for r in ix.embedded(products(spark, NEW), embedder).collect()}
         assert {r[0]: r.embedding for r in spark.table("idx").collect()} == fresh
+        for _ in range(3):
+            ix.sync_index(products(spark, NEW), "idx", counting, buckets=2)
+        assert len(spark.table("idx").inputFiles()) <= 4
     finally:
         spark.catalog.setCurrentDatabase(before)
         spark.sql("DROP DATABASE test_index CASCADE")

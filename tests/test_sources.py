@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from shelfmark.sources import shared
 from shelfmark.sources.files import read_catalogue
 from shelfmark.sources.tables import (
-    merged_with, publish, read_table, register_view, spread, use_schema, write_table,
+    bucketed_by, merged_with, newest_version, publish, read_table, register_view, spread, use_schema, write_table,
 )
 
 HEADER = (
@@ -113,6 +113,27 @@ def test_bucketed_tables_join_without_a_shuffle(spark, schema):
     assert "Exchange" not in plan(joined) and joined.count() == 100
 
 
+def test_layout_without_a_shuffle_of_its_own(spark, schema):
+    from shelfmark.operators.catalogue import deduplicate
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(0, 3000, 1, 5).select((F.col("id") % 1000).alias("k"), "id")
+    out = write_table(deduplicate(rows, "k", ["id"]), "once", bucket_by=(16, "k"), shuffle=False)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert bucketed_by(spark, "once") == (16, "k") and bucketed_by(spark, f"{schema}.once") == (16, "k")
+    assert len(out.inputFiles()) == 16 and out.count() == 1000
+    copy = write_table(out.withColumn("x", F.lit(1)), "copy", bucket_by=(16, "k"), shuffle=False)
+    assert len(copy.inputFiles()) == 16 and copy.filter(F.col("k") == 7).count() == 1
+    assert bucketed_by(spark, write_table(rows, "plain") and "plain") is None
+
+
+def test_publish_in_a_named_schema(spark, schema):
+    for n in (1, 2, 3):
+        publish(spark.range(n), f"{schema}.named", bucket_by=(2, "id"))
+    assert spark.table("test_shop.named").count() == 3
+    assert bucketed_by(spark, newest_version(spark, "test_shop.named")) == (2, "id")
+
+
 def test_views(spark):
     name = register_view(spark.range(5), "five")
     assert spark.sql(f"SELECT sum(id) AS s FROM {name}").first().s == 10
