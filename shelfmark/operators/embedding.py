@@ -43,7 +43,9 @@ def with_embedding(
                 column[row] = vector
             yield column
 
-    return df.withColumn(out, vectors(F.col(text)))
+    # Nondeterministic to the optimizer: a filter on the vector must not be
+    # moved below it, which would embed each text a second time.
+    return df.withColumn(out, vectors.asNondeterministic()(F.col(text)))
 
 
 def hashed_words(dim: int = 64) -> Embedder:

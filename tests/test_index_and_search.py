@@ -35,6 +35,23 @@ def test_embedding_is_unit_length_and_null_for_null(spark):
     assert rows["3"] == [0.0] * 16
 
 
+def test_texts_are_embedded_once_when_searched_at_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting():
+        inner = hashed_words(16)
+
+        def embed(texts):
+            seen.add(len(texts))
+            return inner(texts)
+
+        return embed
+
+    df = with_embedding(products(spark, [(str(i), f"w{i}") for i in range(30)]), counting)
+    assert best_matches(df, query_table(spark, [[1.0] * 16])).count() == 3
+    assert seen.value == 30
+
+
 OLD = [("same", "x"), ("gone", "x"), ("changed", "x"), ("emptied", "x"), (None, "x"), ("unborn", None)]
 NEW = [("same", "x"), ("changed", "y"), ("emptied", None), ("new", "z"), (None, "y"), ("unborn", None)]
 
