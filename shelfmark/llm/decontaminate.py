@@ -203,3 +203,38 @@ def _one_run(runs: Column) -> Column:
 
 def _n_hit() -> Column:
     return F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"])
+
+
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    words_per_pass: int = WORDS_PER_PASS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark window occurs.
+
+    Documents are filtered in place. A second block of the benchmark and later ones are searched
+    for in what the pass before has left and written.
+    """
+    for number, block in enumerate(_passes(benchmark, item_id, item_text, words_per_pass)):
+        docs = stored(docs, "decontaminate") if number else docs
+        docs = docs.where(~_hit(docs, text, block, window))
+    return docs
+
+
+def _hit(docs: DataFrame, text: str, block: list, window: int) -> Column:
+    search = docs.sparkSession.sparkContext.broadcast(_search(block, window))
+
+    @F.arrow_udf("boolean")
+    def hit(batch: pa.Array) -> pa.Array:
+        found = [Machine(*m) for m in search.value[0]]
+        out = []
+        for body in raw_texts(batch):
+            words = words_of(body)
+            out.append(any(True for m in found for _ in occurrences(words, m)))
+        return pa.array(out, pa.bool_())
+
+    return hit(column(text).cast("string"))

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_two_fit, decontaminate, packed_ids, simhash, toxicity
+from . import (
+    best_two_fit, decontaminate, graph_search, license_scan, lm_scoring, packed_ids, ring_shards, simhash,
+    suffix_dedup, toxicity,
+)
 
-LONG_TOKENIZER = "word_bpe_49k.json"
+TOKENIZER = "word_bpe_49k.json"
 
 
-def tokenizer_path(name: str = LONG_TOKENIZER) -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     """Where this machine has a public tokenizer; the operators take any path."""
     import public_tokenizers
 
@@ -26,6 +29,12 @@ def op1_packed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return packed_ids.pack_ids(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op2_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of every document under a model of those labelled good and one of all."""
+    good = _table(spark, folder, "labels").where("quality = 1")
+    return lm_scoring.score_documents(_table(spark, folder, "documents"), good)
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Score of every document; fitted on labels outside the held-out third."""
     docs = _table(spark, folder, "documents")
@@ -44,6 +53,35 @@ def op4_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return best_two_fit.pack_documents(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without its long repeats."""
+    cut = suffix_dedup.with_repeats_removed(_table(spark, folder, "documents"))
+    return cut.select(
+        "row.doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256")
+    )
+
+
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and passages in every document."""
+    found = license_scan.scan_licenses(_table(spark, folder, "documents"))
+    return found.withColumns({
+        "base_labels": F.concat_ws(",", "base_labels"), "labels": F.concat_ws(",", "labels"),
+    })
+
+
+def op7_graph_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    index = graph_search.build_index(vectors)
+    return graph_search.search_index(index, vectors.where("vec_id % 20 = 0"))
+
+
+def op8_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document: counts of shards are at most one apart."""
+    placed = ring_shards.shard_documents(_table(spark, folder, "documents"))
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op9_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.find_contamination(
@@ -63,8 +101,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
+    "op2_cross_entropy": op2_cross_entropy,
     "op3_toxicity": op3_toxicity,
     "op4_best_two_fit": op4_best_two_fit,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_license_scan": op6_license_scan,
+    "op7_graph_search": op7_graph_search,
+    "op8_ring_shards": op8_ring_shards,
     "op9_wu_manber": op9_wu_manber,
     "op10_simhash": op10_simhash,
 }
