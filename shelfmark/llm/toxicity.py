@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from .common import column, in_spread, raw_texts, texts
 
-ORDERS = (3, 4, 5)
-DIMENSIONS = 1 << 18
+ORDERS = (4, 6, 8)
+DIMENSIONS = 1 << 19
 # Labelled documents the classifier is fitted on, the first by a hash of their id. Their features
 # take at most DIMENSIONS numbers each, whatever their length.
 TRAINING_LIMIT = 12_000
 THRESHOLD = 0.7
-PENALTY = 1.0
+PENALTY = 0.3
 # Words whose n-grams a task remembers; beyond it the memory is emptied.
 REMEMBERED = 200_000
 ASCII_MARKS = bytes(b for b in range(128) if not (chr(b).isalnum()))

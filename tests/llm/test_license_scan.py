@@ -1,0 +1,81 @@
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from inputs import FOLDER, ODD, docs, sentence
+
+from shelfmark.llm import license_scan
+from shelfmark.llm.queries import QUERIES
+
+
+def brute_base(text):
+    folded = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+    places = [
+        (i, label) for p, label in license_scan.PHRASES.items() for i in range(len(words))
+        if words[i : i + len(p.split())] == p.split()
+    ]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), sorted({x for _, x in places})
+
+
+TINY = {"x": ["a b c d a b", "b c a"], "y": ["c d e", "d"]}
+TINY_PHRASES = {"a b": "x", "b c": "z", "c d e": "y"}
+WORDS = st.lists(st.sampled_from("abcdef"), max_size=30)
+
+
+@settings(max_examples=200, deadline=None)
+@given(WORDS)
+def test_matching_statistics(words):
+    a = license_scan.build(TINY, TINY_PHRASES)
+    passages = [t.split() for ts in TINY.values() for t in ts] + [p.split() for p in TINY_PHRASES]
+    inside = {tuple(p[i:j]) for p in passages for i in range(len(p)) for j in range(i + 1, len(p) + 1)}
+    base, found = license_scan.matches([w.encode() for w in words], a)
+    listed = list(TINY_PHRASES)
+    assert sorted(base) == sorted(
+        (i, k) for k, p in enumerate(listed) for i in range(len(words)) if words[i : i + len(p.split())] == p.split()
+    )
+    longest = [max((n for n in range(i + 1) if tuple(words[i - n : i]) in inside), default=0) for i in range(len(words) + 1)]
+    wanted = [
+        (i, longest[i]) for i in range(1, len(words) + 1)
+        if longest[i] >= license_scan.LEAST_MATCH and (i == len(words) or longest[i + 1] <= longest[i])
+    ]
+    assert sorted((end, n) for end, n, _ in found) == wanted
+    for end, n, state in found:
+        here = {(p, j) for p, body in enumerate(passages[: len(a.sizes)]) for j in range(n - 1, len(body)) if body[j + 1 - n : j + 1] == words[end - n : end]}
+        assert set(a.ends[state]) == here
+
+
+def test_labels_and_spans(spark):
+    mit = license_scan.TEMPLATES["mit"][0]
+    broken = mit.replace("copy, modify", "copy and alter")
+    rows = [
+        (1, "see the MIT License and the mit license."), (2, sentence(1) + " " + mit), (3, broken), (4, mit[:60]),
+        (5, "Licensed under CC BY-NC 4.0."), *ODD,
+    ]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs(spark, rows)).collect() if r.doc_id in range(1, 6)}
+    texts = dict(rows[:5])
+    first = license_scan.scan(texts[1].encode(), license_scan.build(license_scan.TEMPLATES, license_scan.PHRASES))
+    assert (first["n_base"], first["base_labels"], first["score"]) == (2, ["mit"], 1.0)
+    for key, labels in ((2, ["mit"]), (3, ["mit"]), (4, []), (5, ["cc-by-nc"])):
+        found = license_scan.scan(texts[key].encode(), license_scan.build(license_scan.TEMPLATES, license_scan.PHRASES))
+        assert found["labels"] == labels and 0 < found["score"] <= 1, key
+    assert len(got) == 5
+
+
+def test_odd_documents(spark):
+    frame = license_scan.scan_licenses(docs(spark, ODD))
+    rows = frame.collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_base) for r in rows) == sorted((str(i), *brute_base(t)[:2]) for i, t in ODD)
+    assert license_scan.scan_licenses(docs(spark, [])).count() == 0
+    assert license_scan.scan_licenses(docs(spark, ODD), templates={}, phrases={}).where("score > 0").count() == 0
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = QUERIES["op6_license_scan"](spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, places, first, last, labels = brute_base(texts[r.doc_id])
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (n, places, first, last, ",".join(labels))
+        assert set(labels) <= set(r.labels.split(",")) and 0 <= r.score <= 1

@@ -1,0 +1,68 @@
+import numpy as np
+import pytest
+from inputs import FOLDER, ODD, docs, sentence
+
+from shelfmark.llm import lm_scoring
+from shelfmark.llm.decontaminate import words_of
+from shelfmark.llm.queries import QUERIES
+
+
+def brute(rows, targets, size):
+    counts = {}
+    for _, t in rows:
+        for w in words_of((t or "").encode()):
+            counts[w] = counts.get(w, 0) + 1
+    ids = {w: i + 2 for i, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w))[:size])}
+    n = len(ids) + 2
+    seen = np.zeros((2, n, n))
+    coded = []
+    for i, t in rows:
+        code = [1, *(ids.get(w, 0) for w in words_of((t or "").encode()))]
+        coded.append(code)
+        for a, b in zip(code, code[1:]):
+            seen[0, a, b] += 1
+            seen[1, a, b] += i in targets
+    out = []
+    for (i, _), code in zip(rows, coded):
+        loss = []
+        for c in seen:
+            own = c.sum(0) + 1
+            own[1] = 0
+            own /= own.sum()
+            steps = [
+                -np.log2(0.8 * c[a, b] / c[a].sum() + 0.2 * own[b] if c[a].sum() else own[b]) for a, b in zip(code, code[1:])
+            ]
+            loss.append(np.mean(steps) if steps else None)
+        out.append((str(i), len(code) - 1, loss[1], loss[0]))
+    return out
+
+
+def check(frame, wanted):
+    got = sorted(((str(r.doc_id), r.n_words, r.target_loss, r.background_loss) for r in frame.collect()), key=repr)
+    assert len(got) == len(wanted)
+    key = lambda r: (r[0], r[1], round(r[2] or 0, 3))
+    for g, w in zip(sorted(got, key=key), sorted(wanted, key=key)):
+        assert g[:2] == w[:2] and (g[2] is None) == (w[2] is None)
+        assert w[2] is None or g[2:] == pytest.approx(w[2:], abs=1e-4)
+
+
+@pytest.mark.parametrize("size", [3, 2000])
+def test_odd_documents(spark, size):
+    rows = [*ODD, *((50 + i, sentence(i, 9)) for i in range(20))]
+    target = spark.createDataFrame([(6, "x"), (6, "y"), (None, "z"), (55, None), (999, None)], "doc_id long, text string")
+    check(lm_scoring.score_documents(docs(spark, rows), target, size=size), brute(rows, {6, 55}, size))
+
+
+def test_nothing(spark):
+    none = docs(spark, [])
+    assert lm_scoring.score_documents(none, none).count() == 0
+    rows = lm_scoring.score_documents(docs(spark, ODD), none).collect()
+    assert len(rows) == len(ODD)
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    good = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1").collect()}
+    frame = QUERIES["op2_cross_entropy"](spark, FOLDER)
+    check(frame, brute(rows, good, lm_scoring.VOCABULARY))
+    assert all(r.score is None or r.score == pytest.approx(r.target_loss - r.background_loss) for r in frame.collect())

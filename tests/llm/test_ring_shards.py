@@ -1,0 +1,87 @@
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from inputs import FOLDER, ODD, docs
+
+from shelfmark.llm import ring_shards
+from shelfmark.llm.queries import QUERIES
+
+
+def check(rows, documents, shards):
+    wanted = sorted((str(i), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in documents)
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == wanted
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    for s in slots.values():
+        assert sorted(s) == list(range(len(s)))
+    sizes = [len(slots[s]) for s in range(shards)]
+    assert set(slots) <= set(range(shards)) and max(sizes) - min(sizes) <= 1
+
+
+@pytest.mark.parametrize("shards", [1, 3, 40])
+def test_odd_documents(spark, shards):
+    rows = ODD + [(20, "same")] * 30
+    check(ring_shards.shard_documents(docs(spark, rows), shards, cells=64, points=4).collect(), rows, shards)
+
+
+def test_nothing(spark):
+    assert ring_shards.shard_documents(docs(spark, [])).count() == 0
+
+
+def test_query(spark):
+    rows = QUERIES["op8_ring_shards"](spark, FOLDER).collect()
+    documents = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    check(rows, documents, 40)
+    assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+
+
+def one_by_one(counts, nodes, room):
+    """Each key goes to the first node clockwise with room, in the order the walk comes to them."""
+    room, where = list(room), {}
+    waiting, cells = [], sorted(counts)
+    for lap in (0, 1):
+        for place, shard in nodes:
+            own = []
+            while cells and (cells[0] <= place or lap):
+                cell = cells.pop(0)
+                own += [(cell, i) for i in range(counts[cell])]
+            left = []
+            for queue in (own, waiting):
+                for key in queue:
+                    if room[shard]:
+                        room[shard] -= 1
+                        where[key] = shard
+                    else:
+                        left.append((queue is own, key))
+            waiting = [k for mine, k in left if not mine] + [k for mine, k in left if mine]
+    while waiting:
+        for _, shard in nodes:
+            n = min(room[shard], len(waiting))
+            room[shard] -= n
+            where |= dict.fromkeys(waiting[:n], shard)
+            waiting = waiting[n:]
+    return where
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(0, 15), st.integers(1, 9)), st.integers(1, 4), st.sampled_from([0.0, 0.3]), st.data())
+def test_sweep(counts, shards, slack, data):
+    nodes = sorted((data.draw(st.integers(0, 15)), s) for s in range(shards) for _ in range(2))
+    room = ring_shards.capacities(sum(counts.values()), shards, slack)
+    parts = ring_shards.sweep(counts, nodes, room)
+    where = {(p.cell, i): p.shard for p in parts for i in range(p.first, p.beyond)}
+    assert where == one_by_one(counts, nodes, room)
+    assert all(n <= room[s] for s, n in Counter(where.values()).items())
+
+
+def test_growth_moves_few(spark):
+    frame = docs(spark, [(i, "t") for i in range(4000)])
+    def placed(shards, slack):
+        return {r.doc_id: r.shard for r in ring_shards.shard_documents(frame, shards, slack=slack).collect()}
+    for slack, most in ((0.0, 0.35), (0.25, 0.15)):
+        before, after = placed(10, slack), placed(11, slack)
+        assert sum(before[i] != after[i] for i in before) / 4000 < most
