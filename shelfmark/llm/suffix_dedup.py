@@ -27,7 +27,7 @@ from .common import raw_texts
 from .decontaminate import joined
 
 LENGTH = 400
-GRAM = 64  # bytes of an anchor
+GRAM = 128  # bytes of an anchor
 SYMBOL = 16  # bytes of a symbol of the transforms
 SHARD_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 21  # segments that one merge holds
@@ -312,9 +312,11 @@ def repeated_spans(
     ``docs`` has ``uid`` (the MD5 of the text, as bytes) and ``text``.
     """
     anchors = stored(_found_anchors(docs, length, gram), "anchors")
-    shared = anchors.groupBy("anchor").agg(
+    counts = anchors.groupBy("anchor").agg(
         F.count("*").alias("n"), (F.min("piece") != F.max("piece")).alias("mixed")
-    ).where("n > 1").select("anchor", "mixed")
+    )
+    # Stored, its layout is not that of the join, which may then split a frequent anchor's rows.
+    shared = stored(counts.where("n > 1").select("anchor", "mixed"), "anchors-often")
     linked = stored(anchors.join(shared, "anchor"), "anchors-shared")
     pieces = linked.where("mixed").groupBy("anchor", "piece").agg(
         F.count("*").alias("n"), F.min(F.struct("uid", "a", "b")).alias("at")
