@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
-from functools import reduce
-from itertools import batched
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +18,9 @@ from .catalogue import KEY
 # Scores are compared to this many decimals, so that equal vectors tie whatever
 # batch they are in, and the key decides between them.
 DIGITS = 9
-# Query vectors sent to every task at a time (16 MB at 1024 numbers each), and
-# scores held in a task at a time.
-QUERIES = 2048
+# Query vectors and corpus vectors of a block, and scores held in a task at a time.
+QUERIES = 1024
+ROWS = 4096
 SCORES = 4 << 20
 SALTS = 64
 
@@ -38,65 +37,93 @@ def best_matches(
 ) -> DataFrame:
     """The k most cosine-similar corpus rows of each query: query, rank, key, score.
 
-    Every corpus row is scored, in one pass per block of queries, and no pair
-    is ever a row: each task keeps its k best per query while it reads, and
-    only those are shuffled. A block of queries is sent to the tasks and is
-    bounded in number; a larger query table takes several passes, with the
-    result of each written out before the next. ``where`` filters the corpus
-    at the scan. Query keys must be distinct. A vector of length 0, or with a
-    number missing, scores 0.
+    Every corpus row is scored and no pair is ever a row. Both sides are packed
+    in blocks of bounded size; every block of queries meets every block of the
+    corpus in a join on a slot, and only the k best per query of two blocks go
+    on. Queries are stored once; few enough, Spark broadcasts their blocks, and
+    the corpus is scanned in place. ``where`` filters the corpus at the scan.
+    Query keys must be distinct, else the search fails when it runs. A vector of
+    length 0, or with a number missing, scores 0. Scores are computed from
+    single-precision corpus vectors; doubles are rounded to these.
     """
     if where is not None:
         corpus = corpus.filter(where)
-    schema = match_schema(corpus, queries, key, query_key)
-    asked = query_vectors(queries, query_key, query_vector)
-    few = few_queries(asked)
-    if few is not None:
-        return one_pass(corpus, few, schema, k, vector)
-    blocks = batched(stored(asked, "queries").toLocalIterator(), QUERIES)
-    passes = (one_pass(corpus, block, schema, k, vector) for block in blocks)
-    return reduce(DataFrame.unionByName, (stored(found, "matches") for found in passes))
-
-
-def match_schema(corpus: DataFrame, queries: DataFrame, key: str, query_key: str) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            T.StructField(key, corpus.schema[key].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+    slots = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = query_blocks(stored(query_vectors(queries, query_key, query_vector), "queries"))
+    spread = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    found = scored(corpus_blocks(usable(corpus, key, vector), slots), spread, key, query_key, k)
+    return ranked(found, k)
 
 
 def query_vectors(queries: DataFrame, query_key: str, query_vector: str) -> DataFrame:
     known = queries.filter(F.col(query_key).isNotNull() & F.col(query_vector).isNotNull())
-    return known.select(query_key, F.col(query_vector).cast("array<double>"))
+    return known.select(query_key, F.col(query_vector).cast("array<double>").alias("_vector"))
+
+
+def query_blocks(asked: DataFrame, by: str | None = None) -> DataFrame:
+    """Blocks of about QUERIES (key, vector) pairs, none with more than one ``by``."""
+    query_key = asked.columns[0]
+    number = max(1, -(-asked.count() // QUERIES))
+    block = F.pmod(F.xxhash64(query_key), F.lit(number))
+    keys = [by] if by else []
+    once = asked.groupBy(query_key, *keys).agg(
+        F.when(F.count("*") > 1, F.raise_error(F.lit("query keys must be distinct")))
+        .otherwise(F.min("_vector")).alias("_vector")
+    )
+    packed = once.groupBy(*keys, block.alias("_block")).agg(
+        F.collect_list(F.struct(query_key, "_vector")).alias("queries")
+    )
+    return stored(packed.drop("_block"), "query-blocks")
 
 
-def few_queries(asked: DataFrame) -> list[Row] | None:
-    """The query vectors if they fit in one block, else None."""
-    rows = asked.limit(QUERIES + 1).collect()
-    return rows if len(rows) <= QUERIES else None
+def usable(corpus: DataFrame, key: str, vector: str, *more: str) -> DataFrame:
+    """(key, vector) of the rows that can be found, and ``more`` columns."""
+    known = corpus.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
+    return known.select(F.col(key), F.col(vector).cast("array<float>").alias(vector), *more)
 
 
-def usable(corpus: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector) of the rows that can be found."""
-    known = corpus.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
-    return known.select(F.col(key), F.col(vector).cast("array<float>").alias(vector))
+def corpus_blocks(rows: DataFrame, slots: int | None = None) -> DataFrame:
+    """(slot, keys, vectors): up to ROWS rows of (key, vector), dealt over slots in turn.
 
+    Without ``slots`` the rows have a third column, the slot, which they keep.
+    """
+    key = rows.schema[0].dataType.simpleString()
 
-def one_pass(
-    corpus: DataFrame, block: Sequence[Row], schema: T.StructType, k: int, vector: str
-) -> DataFrame:
-    """The k best corpus rows for each query of a block."""
-    if not block:
-        return ranked(corpus.sparkSession.createDataFrame([], schema), k)
-    names = [row[0] for row in block]
-    if len(set(names)) != len(names):
-        raise ValueError("query keys must be distinct")
-    matrix = unit(np.array([row[1] for row in block], dtype=np.float64))
-    rows = usable(corpus, schema.names[1], vector)
-    return ranked(rows.mapInArrow(_scorer(names, matrix, schema, k), schema), k)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            if slots is None:
+                given = batch.column(2).to_numpy(zero_copy_only=False)
+                batch = batch.take(pa.array(np.argsort(given, kind="stable")))
+                given = np.sort(given, kind="stable")
+                cuts = [0, *(np.flatnonzero(np.diff(given)) + 1).tolist(), batch.num_rows]
+            else:
+                cuts = [0, batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                for start in range(a, b, ROWS):
+                    part = batch.slice(start, min(ROWS, b - start))
+                    one = pa.array([0, part.num_rows], pa.int32())
+                    slot = turn % slots if slots is not None else int(given[start])
+                    turn += 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([slot], pa.int32()), *(pa.ListArray.from_arrays(one, c) for c in part.columns[:2])],
+                        names=["slot", "keys", "vectors"],
+                    )
+
+    return rows.mapInArrow(pack, f"slot int, keys array<{key}>, vectors array<array<float>>")
+
+
+def scored(corpus: DataFrame, blocks: DataFrame, key: str, query_key: str, k: int) -> DataFrame:
+    """(query, key, score): the k best of each query in every two blocks that share a slot."""
+    schema = T.StructType(
+        [
+            T.StructField(query_key, blocks.schema["queries"].dataType.elementType[0].dataType),
+            T.StructField(key, corpus.schema["keys"].dataType.elementType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    pairs = corpus.join(blocks, "slot").select("keys", "vectors", "queries")
+    return pairs.mapInArrow(_scorer(schema, k), schema)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -121,62 +148,53 @@ def unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=usable)
 
 
-def _scorer(names: list, queries: np.ndarray, schema: T.StructType, k: int):
-    """A task's work: read vectors batch by batch, keep the k best per query."""
+def matrix_of(vectors: pa.ListArray, dim: int | None = None) -> np.ndarray:
+    """A list column as doubles; all rows must have as many numbers."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    dim = dim or (len(flat) // len(vectors) if len(vectors) else 0)
+    lengths = np.diff(vectors.offsets.to_numpy())
+    if (lengths != dim).any():
+        raise ValueError(f"vectors must have {dim} numbers")
+    return flat.reshape(len(vectors), dim).astype(np.float64)
+
+
+def _scorer(schema: T.StructType, k: int):
+    """Score pairs of blocks with one matrix product per piece, keep the k best per query."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    count, dim = queries.shape
 
     def cosines(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         with np.errstate(invalid="ignore"):
             length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
             products = units @ vectors.T
-        usable = np.isfinite(length) & (length > 0)
-        ratio = np.divide(products, length, out=np.zeros_like(products), where=usable)
+        good = np.isfinite(length) & (length > 0)
+        ratio = np.divide(products, length, out=np.zeros_like(products), where=good)
         return np.round(ratio, DIGITS) + 0.0
 
-    def keep_best(scores: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def best(scores: np.ndarray, keys: list) -> list[int]:
         if len(scores) <= k:
-            return scores, keys
+            return range(len(scores))
         edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        above = np.flatnonzero(scores > edge)
-        level = np.flatnonzero(scores == edge)
-        taken = heapq.nsmallest(k - len(above), level, key=keys.__getitem__)
-        chosen = np.concatenate([above, np.array(taken, dtype=np.int64)])
-        return scores[chosen], keys[chosen]
+        above = np.flatnonzero(scores > edge).tolist()
+        level = np.flatnonzero(scores == edge).tolist()
+        return above + heapq.nsmallest(k - len(above), level, key=keys.__getitem__)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * count
-        edges = np.full(count, -np.inf)
-        step = max(1, SCORES // count)
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                lists = part.column(1)
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                if len(flat) != part.num_rows * dim:
-                    raise ValueError(f"corpus vectors must have {dim} numbers")
-                keys = part.column(0).to_numpy(zero_copy_only=False)
-                scores = cosines(queries, flat.reshape(-1, dim).astype(np.float64))
-                for query in np.flatnonzero(scores.max(axis=1) >= edges):
-                    near = np.flatnonzero(scores[query] >= edges[query])
-                    new_scores, new_keys = scores[query][near], keys[near]
-                    if best[query] is not None:
-                        new_scores = np.concatenate([best[query][0], new_scores])
-                        new_keys = np.concatenate([best[query][1], new_keys])
-                    best[query] = keep_best(new_scores, new_keys)
-                    if len(best[query][0]) == k:
-                        edges[query] = best[query][0].min()
-        rows = [
-            (name, match, value)
-            for name, found in zip(names, best)
-            if found is not None
-            for value, match in zip(found[0].tolist(), found[1].tolist())
-        ]
-        columns = [
-            pa.array([row[i] for row in rows], type=field.type) for i, field in enumerate(arrow)
-        ]
-        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            for keys, vectors, queries in zip(*(batch.column(i) for i in range(3))):
+                keys, vectors, queries = keys.as_py(), matrix_of(vectors.values), queries.values
+                names, asked = queries.field(0).to_pylist(), matrix_of(queries.field(1), vectors.shape[1])
+                out: list[list] = [[], [], []]
+                step = max(1, SCORES // max(1, len(keys)))
+                for start in range(0, len(names), step):
+                    for name, row in zip(names[start:], cosines(unit(asked[start : start + step]), vectors)):
+                        chosen = best(row, keys)
+                        out[0] += [name] * len(chosen)
+                        out[1] += [keys[i] for i in chosen]
+                        out[2] += [float(row[i]) for i in chosen]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=field.type) for c, field in zip(out, arrow)], schema=arrow
+                )
 
     return score

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.catalogue import KEY
 from ..operators.embedding import Embedder, with_embedding
-from ..operators.similarity import (
-    best_matches, few_queries, match_schema, one_pass, query_vectors,
-)
+from ..operators.similarity import best_matches
+from ..sources.shared import stored
 
 # What a search returns by default.
 RESULT_COLUMNS = [
@@ -20,11 +19,6 @@ RESULT_COLUMNS = [
 ]
 RESULTS = 3
 
-# Matches of up to this many rows are brought to the driver and broadcast to the
-# scan of the gold table; up to this many keys also select what it reads.
-BROADCAST_ROWS = 100_000
-SELECTING_KEYS = 1_000
-
 
 def search(
     index: DataFrame,
@@ -38,28 +32,16 @@ def search(
 ) -> DataFrame:
     """The k best products of each query text, with the asked-for columns.
 
-    ``texts`` has (query_id, query_text). Scoring reads key and vector only;
-    the columns of the few matches are joined on afterwards. Their keys select
-    what is read: buckets of a gold table bucketed by key, row groups of a
-    sorted one. ``where`` is a condition on gold columns that limits what is
-    searched. The search runs when this is called, unless its matches are too
-    many to broadcast.
+    ``texts`` has (query_id, query_text); each text is embedded once. Scoring
+    reads key and vector only; the columns of the matches are joined on
+    afterwards, by a join that Spark plans from their real size. ``where`` is a
+    condition on gold columns that limits what is searched. The search runs
+    when this is called; its matches are stored.
     """
     if where is not None:
         index = index.join(gold.filter(where).select(key), key, "left_semi")
     queries = with_embedding(texts, make_embedder, "query_text")
-    asked = query_vectors(queries, "query_id", "embedding")
-    few = few_queries(asked)
-    if few is not None and len(few) * k <= BROADCAST_ROWS:
-        schema = match_schema(index, texts, key, "query_id")
-        found = one_pass(index, few, schema, k, "embedding")
-        rows = found.collect()
-        matches = F.broadcast(index.sparkSession.createDataFrame(rows, found.schema))
-        keys = sorted({row[key] for row in rows})
-        if len(keys) <= SELECTING_KEYS:
-            gold = gold.filter(F.col(key).isin(keys))
-    else:
-        matches = best_matches(index, asked, k, key)
+    matches = stored(best_matches(index, queries, k, key), "matches")
     return (
         matches.join(gold.select(key, *columns), key)
         .select("query_id", "rank", key, *columns, "score")

@@ -148,6 +148,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     queries = vectors[:7]
     whole = triples(best_matches(df, query_table(spark, queries)))
     monkeypatch.setattr(similarity, "QUERIES", 2)
+    monkeypatch.setattr(similarity, "ROWS", 30)
     monkeypatch.setattr(similarity, "SCORES", 50)
     assert triples(best_matches(df, query_table(spark, queries))) == whole == brute(vectors, queries, 3)
 
@@ -165,8 +166,8 @@ def test_no_queries_no_corpus_and_bad_input(spark):
     df, _ = corpus(spark, 20)
     assert best_matches(df, query_table(spark, [])).count() == 0
     assert best_matches(df.limit(0), query_table(spark, [[1.0] * 8])).count() == 0
-    with pytest.raises(ValueError, match="distinct"):
-        best_matches(df, query_table(spark, [[1.0] * 8]).union(query_table(spark, [[2.0] * 8])))
+    with pytest.raises(Exception, match="distinct"):
+        best_matches(df, query_table(spark, [[1.0] * 8]).union(query_table(spark, [[2.0] * 8]))).collect()
     with pytest.raises(Exception, match="8|numbers"):
         best_matches(df, query_table(spark, [[1.0] * 5])).collect()
 
@@ -211,29 +212,59 @@ def test_search_by_cell_equals_the_whole_search(spark, tmp_path, k):
 def test_search_by_cell_skips_cells(spark, tmp_path, monkeypatch):
     df, vectors = clustered(spark)
     laid_out, pivots, bounds = written_cells(spark, df, 40, tmp_path)
-    read = []
+    sent = []
 
-    def counting(corpus, *args):
-        read.append(corpus.select("cell").distinct().count())
-        return similarity.one_pass(corpus, *args)
+    def counting(corpus, blocks, *args):
+        sent.append(blocks.select("slot").distinct().count())
+        return similarity.scored(corpus, blocks, *args)
 
-    monkeypatch.setattr(cells, "one_pass", counting)
+    monkeypatch.setattr(cells, "scored", counting)
     queries = query_table(spark, vectors[2500:2501])
     got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries, 3)
-    assert "PartitionFilters: [cell" in plan(laid_out.filter(F.col("cell").isin(1, 2)))
     assert triples(got) == triples(best_matches(df, queries, 3))
-    assert sum(read) < bounds.count() / 2
+    assert sum(sent) < bounds.count() / 2
+    assert "PartitionFilters: [cell" in plan(laid_out.filter(F.col("cell").isin(1, 2)))
+
+
+def test_search_by_cell_with_a_condition(spark, tmp_path):
+    df, vectors = clustered(spark, 600)
+    laid_out, pivots, bounds = written_cells(spark, df, 20, tmp_path)
+    queries = query_table(spark, vectors[100:110])
+    some = F.col("site_product_identifier").cast("int") % 7 == 0
+    got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries, 5, where=some)
+    assert triples(got) == triples(best_matches(df, queries, 5, where=some))
 
 
-def test_many_queries_by_cell_search_everything(spark, tmp_path, monkeypatch):
+def test_many_queries_by_cell(spark, tmp_path, monkeypatch):
     df, vectors = clustered(spark, 300)
     laid_out, pivots, bounds = written_cells(spark, df, 5, tmp_path)
     monkeypatch.setattr(similarity, "QUERIES", 2)
+    monkeypatch.setattr(cells, "SCORES", 7)
     queries = query_table(spark, vectors[100:110])
     got = cells.best_matches_by_cell(laid_out, pivots, bounds, queries)
     assert triples(got) == triples(best_matches(df, queries))
 
 
+def test_every_text_is_embedded_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting():
+        inner = hashed_words(16)
+
+        def embed(texts):
+            seen.add(len(texts))
+            return inner(texts)
+
+        return embed
+
+    monkeypatch.setattr(similarity, "QUERIES", 10)
+    gold = products(spark, [(str(i), f"word{i % 7} car{i}") for i in range(40)])
+    index = ix.embedded(gold, counting)
+    texts = spark.createDataFrame([(i, f"word{i}") for i in range(50)], "query_id int, query_text string")
+    assert search(index, gold, texts, counting, ["concatenated_text"]).count() == 150
+    assert seen.value == 90
+
+
 def test_text_search_returns_columns_in_rank_order(spark):
     gold = products(spark, [("1", "red brick castle"), ("2", "blue car"), ("3", "red car"), ("4", None)])
     gold = gold.withColumn("product_name", F.upper("concatenated_text")).withColumn("n", F.col(gold.columns[0]).cast("int"))
