@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from ..sources.tables import bucketed_by, newest_version, publish
+from ..sources.tables import write_table
 from .catalogue import KEY, deduplicate
 from .embedding import Embedder, with_embedding
 
@@ -54,12 +54,25 @@ def embedded(
     make_embedder: Callable[[], Embedder],
     key: str = KEY,
     text: str = TEXT,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Index rows (key, text_hash, embedding) for source rows that are unique by key."""
+    """Index rows (key, text_hash, embedding) for source rows that are unique by key.
+
+    ``partitions`` sets how many embedders run at a time; leave it out to keep
+    the input's partitions and save the shuffle.
+    """
     rows = indexable(source, key, text).select(key, F.xxhash64(text).alias("text_hash"), text)
+    if partitions is not None:
+        rows = rows.repartition(partitions)
     return with_embedding(rows, make_embedder, text).select(key, "text_hash", "embedding")
 
 
+def one_per_key(source: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
+    """(key, text) of the row that ``fingerprints`` stands for; a task sends one row per key at most."""
+    rows = indexable(source, key, text).select(key, text)
+    return deduplicate(rows, key, [F.xxhash64(text).desc()])
+
+
 def refreshed(
     source: DataFrame,
     index: DataFrame,
@@ -67,28 +80,26 @@ def refreshed(
     make_embedder: Callable[[], Embedder],
     key: str = KEY,
     text: str = TEXT,
-    buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The index after the changes; only new and changed texts are embedded.
+    """The index after the changes; only new and changed texts are embedded, once, and stored.
 
-    ``buckets`` gives the changed rows the layout of an index bucketed by key,
-    so that the unchanged ones can be written without a shuffle.
+    A row leaves the index only if its key is deleted or its new vector is
+    there: a source that has changed again since the diff costs no key, and the
+    next sync brings it up to date.
     """
     wanted = changes.filter(F.col("change") != "delete").select(
         F.col(key).alias("_key"), F.col("text_hash").alias("_hash")
     )
-    rows = indexable(source, key, text).select(key, text)
     # Written as no plain equality, the hash test is not a join key: the join
-    # stays on the key alone, which a source bucketed by key is laid out for.
+    # stays on the key alone, which the deduplication has laid the rows out by.
     same_text = F.xxhash64(text).bitwiseXOR(F.col("_hash")) == 0
-    changed = rows.join(wanted, (F.col(key) == F.col("_key")) & same_text).select(key, text)
-    kept = index.join(changes.select(key), key, "left_anti")
-    once = deduplicate(changed, key)
-    if buckets is not None:
-        once = once.repartition(buckets, key)
-    return kept.select(key, "text_hash", "embedding").unionByName(
-        embedded(once, make_embedder, key, text)
-    )
+    once = one_per_key(source, key, text)
+    changed = once.join(wanted, (F.col(key) == F.col("_key")) & same_text).select(key, text)
+    fresh = stored(embedded(changed, make_embedder, key, text, partitions), "index-fresh")
+    gone = changes.filter(F.col("change") == "delete").select(key).union(fresh.select(key))
+    kept = index.join(gone, key, "left_anti")
+    return kept.select(key, "text_hash", "embedding").unionByName(fresh)
 
 
 def sync_index(
@@ -98,6 +109,7 @@ def sync_index(
     key: str = KEY,
     text: str = TEXT,
     buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Bring the index table ``name`` in step with the source, creating it if absent.
 
@@ -109,14 +121,12 @@ def sync_index(
     spark = source.sparkSession
     bucket_by = (buckets, key) if buckets else None
     if not spark.catalog.tableExists(name):
-        rows = indexable(source, key, text).select(key, text)
-        once = deduplicate(rows, key, [F.xxhash64(text).desc()])
-        index = publish(embedded(once, make_embedder, key, text), name, bucket_by)
+        rows = embedded(one_per_key(source, key, text), make_embedder, key, text, partitions)
+        index = write_table(rows, name, bucket_by=bucket_by)
         return index.select(key, F.lit("insert").alias("change"))
     index = spark.table(name)
     changes = stored(index_changes(source, index, key, text), "index-changes")
-    present = newest_version(spark, name)
-    alike = buckets is not None and present and bucketed_by(spark, present) == bucket_by
-    new = refreshed(source, index, changes, make_embedder, key, text, buckets if alike else None)
-    publish(new, name, bucket_by, shuffle=not alike)
+    write_table(
+        refreshed(source, index, changes, make_embedder, key, text, partitions), name, bucket_by=bucket_by
+    )
     return changes.select(key, "change")

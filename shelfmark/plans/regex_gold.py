@@ -9,7 +9,7 @@ from ..functions.tags import with_flags, with_substring_tags
 from ..functions.text import with_clean_text
 from ..operators.catalogue import KEY
 from ..operators.report import tag_coverage
-from ..sources.tables import bucketed_by, read_table, write_table
+from ..sources.tables import read_table, write_table
 
 
 def regex_gold(silver: DataFrame) -> DataFrame:
@@ -23,13 +23,10 @@ def tag_catalogue(
     """Write the gold table, keeping columns that only an earlier version has.
 
     ``buckets`` lays it out by product, so that looking up a few products, as a
-    search does for its matches, reads a few buckets. It costs a shuffle, but
-    none for a silver table bucketed alike.
+    search does for its matches, reads a few buckets. It costs a shuffle.
     """
-    bucket_by = (buckets, KEY) if buckets else None
-    alike = bucket_by is not None and bucketed_by(spark, silver_table) == bucket_by
     gold = regex_gold(read_table(spark, silver_table))
-    return write_table(gold, gold_table, merge_schema=True, bucket_by=bucket_by, shuffle=not alike)
+    return write_table(gold, gold_table, merge_schema=True, bucket_by=(buckets, KEY) if buckets else None)
 
 
 def coverage(gold: DataFrame) -> DataFrame:

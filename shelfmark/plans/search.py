@@ -29,10 +29,12 @@ def search(
     k: int = RESULTS,
     where: Column | None = None,
     key: str = KEY,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The k best products of each query text, with the asked-for columns.
 
-    ``texts`` has (query_id, query_text); each text is embedded once. Scoring
+    ``texts`` has (query_id, query_text); each text is embedded once, by
+    ``partitions`` embedders at a time if given. Scoring
     reads key and vector only; the columns of the matches are joined on
     afterwards, by a join that Spark plans from their real size. ``where`` is a
     condition on gold columns that limits what is searched. The search runs
@@ -40,6 +42,7 @@ def search(
     """
     if where is not None:
         index = index.join(gold.filter(where).select(key), key, "left_semi")
+    texts = texts if partitions is None else texts.repartition(partitions)
     queries = with_embedding(texts, make_embedder, "query_text")
     matches = stored(best_matches(index, queries, k, key), "matches")
     return (

@@ -2,32 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a local session without one gets its own."""
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
-
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the warehouse.
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"shelfmark-{application}-")
+    Both are places that driver and executors share; neither depends on where the session runs.
+    """
+    folder = spark.conf.get(SETTING, None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shelfmark"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -35,3 +30,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove what this process has stored so far; call it once its results have been read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)

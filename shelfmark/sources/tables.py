@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,55 +61,48 @@ def write_table(
     name: str,
     merge_schema: bool = False,
     bucket_by: tuple[int, str] | None = None,
-    shuffle: bool = True,
     path: str | None = None,
     fmt: str = "parquet",
+    keep: int = 2,
 ) -> DataFrame:
-    """Overwrite a table and return it.
+    """Write a new version of a table, point the view ``name`` at it and return it.
+
+    The new version may be computed from the present one. Readers see either
+    version whole, and a failed write leaves the present one in place. The
+    switch touches the catalog only; no data is copied. All but the newest
+    ``keep`` versions are dropped. A plain table of that name is replaced once
+    the new version stands.
 
     ``bucket_by`` (number, column) lays the rows out so that later joins and
     groupings on that column need no shuffle. Give it a column with few rows
     per value, such as a key: each bucket is written by one task as one file.
-    ``shuffle=False`` saves the shuffle for it where the frame has the layout
-    anyway: its last step is a shuffle by that column, as a deduplication is,
-    or it only scans tables bucketed alike.
+    With ``path`` each version has a folder of its own below it.
     """
+    spark = df.sparkSession
     if merge_schema:
         df = merged_with(df, name)
-    layout = {}
+    versions = _versions(spark, name)
+    number = 1 + (versions[-1][0] if versions else 0)
+    version = f"{name}__v{number:06d}_{uuid4().hex[:8]}"
     if bucket_by is not None:
-        number, column = bucket_by
-        if shuffle:
-            df = df.repartition(number, column)
-        else:
-            layout = {
-                "spark.sql.shuffle.partitions": str(number),
-                "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
-            }
-    writer = df.write.format(fmt).mode("overwrite")
+        df = df.repartition(*bucket_by)
+    writer = df.write.format(fmt)
     if bucket_by is not None:
-        writer = writer.bucketBy(number, column).sortBy(column)
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     if path is not None:
-        writer = writer.option("path", path)
-    with _settings(df.sparkSession, layout):
-        writer.saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
-@contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        writer = writer.option("path", f"{path.rstrip('/')}/{version.rpartition('.')[2]}")
+    writer.saveAsTable(version)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {_quoted(name)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}")
+    for _, old in versions[: max(0, len(versions) + 1 - keep)]:
+        spark.sql(f"DROP TABLE {_quoted(old)}")
+    return spark.table(name)
 
 
 def bucketed_by(spark: SparkSession, name: str) -> tuple[int, str] | None:
-    """Number of buckets and column of a table bucketed by one column."""
+    """Number of buckets and column of a table, or the version behind a view, bucketed by one column."""
+    name = newest_version(spark, name) or name
     about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}").collect()}
     columns = about.get("Bucket Columns", "").strip("[]").replace("`", "").split(", ")
     if "Num Buckets" not in about or len(columns) != 1:
@@ -119,33 +110,8 @@ def bucketed_by(spark: SparkSession, name: str) -> tuple[int, str] | None:
     return int(about["Num Buckets"]), columns[0]
 
 
-def publish(
-    df: DataFrame,
-    name: str,
-    bucket_by: tuple[int, str] | None = None,
-    shuffle: bool = True,
-    keep: int = 2,
-) -> DataFrame:
-    """Write a new version of a table and point the view ``name`` at it.
-
-    The new version may be computed from the present one. Readers see either
-    version whole, and a failed write leaves the present one in place. The
-    switch touches the catalog only; no data is copied. All but the newest
-    ``keep`` versions are dropped.
-    """
-    spark = df.sparkSession
-    versions = _versions(spark, name)
-    number = 1 + (versions[-1][0] if versions else 0)
-    version = f"{name}__v{number:06d}_{uuid4().hex[:8]}"
-    write_table(df, version, bucket_by=bucket_by, shuffle=shuffle)
-    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {_quoted(version)}")
-    for _, old in versions[: max(0, len(versions) + 1 - keep)]:
-        spark.sql(f"DROP TABLE {_quoted(old)}")
-    return spark.table(name)
-
-
 def newest_version(spark: SparkSession, name: str) -> str | None:
-    """The table behind a published view."""
+    """The table behind the view of a written table."""
     versions = _versions(spark, name)
     return versions[-1][1] if versions else None
 
@@ -155,7 +121,7 @@ def _quoted(name: str) -> str:
 
 
 def _versions(spark: SparkSession, name: str) -> list[tuple[int, str]]:
-    """Number and full name of the versions of a published table, oldest first."""
+    """Number and full name of the versions of a written table, oldest first."""
     prefix, _, base = name.rpartition(".")
     place = f" IN {_quoted(prefix)}" if prefix else ""
     found = []

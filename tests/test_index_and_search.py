@@ -287,3 +287,25 @@ def test_many_texts_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(similarity, "QUERIES", 2)
     assert search(index, gold, texts, embedder, ["concatenated_text"]).collect() == once
     assert len(once) == 15
+
+
+def test_a_source_that_changes_in_between_loses_no_key(spark):
+    index = ix.embedded(products(spark, [("a", "x"), ("b", "x"), ("c", "x")]), embedder)
+    changes = ix.index_changes(products(spark, [("a", "y"), ("b", "y")]), index)
+    later = products(spark, [("a", "z"), ("b", "y")])
+    got = {r[0]: r.embedding for r in ix.refreshed(later, index, changes, embedder).collect()}
+    old = {r[0]: r.embedding for r in index.collect()}
+    assert set(got) == {"a", "b"} and got["a"] == old["a"] and got["b"] != old["b"]
+
+
+def test_copies_are_dropped_before_the_shuffle_of_a_sync(spark):
+    source = products(spark, [("hot", f"x{i % 3}") for i in range(900)] + [("cold", "z")]).repartition(6)
+    text = plan(ix.one_per_key(source))
+    assert text.index("Exchange hash") < text.rindex("WindowGroupLimit")
+    assert ix.one_per_key(source).count() == 2
+
+
+def test_embedding_in_as_many_tasks_as_asked(spark):
+    rows = products(spark, [(str(i), f"w{i}") for i in range(200)])
+    out = ix.embedded(ix.one_per_key(rows), embedder, partitions=7)
+    assert out.rdd.getNumPartitions() == 7 and out.count() == 200

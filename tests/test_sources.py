@@ -1,11 +1,10 @@
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from shelfmark.sources import shared
 from shelfmark.sources.files import read_catalogue
 from shelfmark.sources.tables import (
-    bucketed_by, merged_with, newest_version, publish, read_table, register_view, spread, use_schema, write_table,
+    bucketed_by, merged_with, newest_version, read_table, register_view, spread, use_schema, write_table,
 )
 
 HEADER = (
@@ -86,24 +85,32 @@ def test_merged_schema_refuses_another_type(spark, schema):
         merged_with(spark.createDataFrame([("x",)], "id string"), "t")
 
 
-def test_publish_may_read_what_it_replaces(spark, schema):
-    publish(spark.range(3), "v")
-    with pytest.raises(AnalysisException):
-        write_table(spark.range(1), "w") and write_table(spark.table("w"), "w")
+def test_write_may_read_what_it_replaces(spark, schema):
+    write_table(spark.range(3), "v")
+    write_table(spark.range(1), "w")
+    assert write_table(spark.table("w"), "w").count() == 1
     for _ in range(3):
-        publish(spark.table("v").select((F.col("id") + 10).alias("id")), "v")
+        write_table(spark.table("v").select((F.col("id") + 10).alias("id")), "v")
     assert sorted(r.id for r in spark.table("v").collect()) == [30, 31, 32]
     versions = [t.name for t in spark.catalog.listTables() if t.name.startswith("v__")]
     assert len(versions) == 2
 
 
-def test_failed_publish_leaves_the_present_version(spark, schema):
-    publish(spark.range(3), "v")
+def test_failed_write_leaves_the_present_version(spark, schema):
+    write_table(spark.range(3), "v")
     with pytest.raises(Exception):
-        publish(spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), "v")
+        write_table(spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), "v")
     assert spark.table("v").count() == 3
 
 
+def test_plain_table_is_replaced_once_its_successor_stands(spark, schema):
+    spark.range(3).write.saveAsTable("plain")
+    with pytest.raises(Exception):
+        write_table(spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), "plain")
+    assert spark.table("plain").count() == 3
+    assert write_table(spark.table("plain").limit(2), "plain", merge_schema=True).count() == 2
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, schema):
     from conftest import plan
 
@@ -118,18 +125,18 @@ def test_layout_without_a_shuffle_of_its_own(spark, schema):
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     rows = spark.range(0, 3000, 1, 5).select((F.col("id") % 1000).alias("k"), "id")
-    out = write_table(deduplicate(rows, "k", ["id"]), "once", bucket_by=(16, "k"), shuffle=False)
+    out = write_table(deduplicate(rows, "k", ["id"]), "once", bucket_by=(16, "k"))
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert bucketed_by(spark, "once") == (16, "k") and bucketed_by(spark, f"{schema}.once") == (16, "k")
     assert len(out.inputFiles()) == 16 and out.count() == 1000
-    copy = write_table(out.withColumn("x", F.lit(1)), "copy", bucket_by=(16, "k"), shuffle=False)
+    copy = write_table(out.withColumn("x", F.lit(1)), "copy", bucket_by=(16, "k"))
     assert len(copy.inputFiles()) == 16 and copy.filter(F.col("k") == 7).count() == 1
     assert bucketed_by(spark, write_table(rows, "plain") and "plain") is None
 
 
-def test_publish_in_a_named_schema(spark, schema):
+def test_write_in_a_named_schema(spark, schema):
     for n in (1, 2, 3):
-        publish(spark.range(n), f"{schema}.named", bucket_by=(2, "id"))
+        write_table(spark.range(n), f"{schema}.named", bucket_by=(2, "id"))
     assert spark.table("test_shop.named").count() == 3
     assert bucketed_by(spark, newest_version(spark, "test_shop.named")) == (2, "id")
 
@@ -146,7 +153,7 @@ class Settings:
         self.conf = self
         self.settings = settings
 
-    def get(self, key, default):
+    def get(self, key, default=None):
         return self.settings.get(key.replace(".", "_"), default)
 
     class sparkContext:
@@ -157,10 +164,22 @@ def test_shared_folder_is_the_clusters():
     named = Settings(spark_checkpoint_dir="hdfs://shared/x", spark_master="yarn")
     assert shared.shared_folder(named) == "hdfs://shared/x"
     assert shared.fresh_path(named, "a").startswith("hdfs://shared/x/a-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared.shared_folder(Settings(spark_master="yarn"))
-    own = shared.shared_folder(Settings(spark_master="local[2]"))
-    assert own == shared.shared_folder(Settings(spark_master="local[2]"))
+    shared._made.pop()
+    for master in ("yarn", "local[2]"):
+        unnamed = Settings(spark_master=master, spark_sql_warehouse_dir="s3://shop/tables/")
+        assert shared.shared_folder(unnamed) == "s3://shop/tables/_shelfmark"
+
+
+def test_what_was_stored_can_be_removed(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    monkeypatch.setattr(shared, "_made", [])
+    df = shared.stored(spark.range(4), "four")
+    place = Path(urlparse(df.inputFiles()[0]).path).parent
+    assert place.exists()
+    shared.discard(spark)
+    assert not place.exists()
 
 
 def test_stored_is_read_back_whole(spark):
