@@ -19,6 +19,7 @@ DIMENSIONS = 1 << 19
 TRAINING_LIMIT = 12_000
 THRESHOLD = 0.7
 PENALTY = 0.3
+DOCUMENTS = 500  # of the training set that are looked at in one step of the fit
 # Words whose n-grams a task remembers; beyond it the memory is emptied.
 REMEMBERED = 200_000
 ASCII_MARKS = bytes(b for b in range(128) if not (chr(b).isalnum()))
@@ -61,24 +62,35 @@ class Features:
 
 def log_count_ratios(offsets: np.ndarray, indices: np.ndarray, toxic: np.ndarray, dimensions: int) -> np.ndarray:
     """log of (share of the n-gram in toxic texts / share in others), each count raised by one."""
-    of_row = np.repeat(toxic, np.diff(offsets))
-    p = 1.0 + np.bincount(indices[of_row], minlength=dimensions)
-    q = 1.0 + np.bincount(indices[~of_row], minlength=dimensions)
+    p, q = np.ones(dimensions), np.ones(dimensions)
+    for a, b, bad in zip(offsets[:-1], offsets[1:], toxic):
+        (p if bad else q)[indices[a:b]] += 1  # an n-gram stands once in a text
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
 def fit_logistic(offsets, indices, toxic, ratios, penalty: float = PENALTY, rounds: int = 60) -> Model:
     """Logistic regression on binary features times their ratios, by limited-memory BFGS."""
-    rows = np.repeat(np.arange(len(toxic)), np.diff(offsets))
-    values = ratios[indices]
     sign = np.where(toxic, 1.0, -1.0)
+    size = len(ratios)
+
+    def parts():
+        """Some documents at a time: their slice, n-grams and the document of each n-gram."""
+        for a in range(0, len(toxic), DOCUMENTS):
+            own = slice(a, min(a + DOCUMENTS, len(toxic)))
+            grams = indices[offsets[own.start] : offsets[own.stop]]
+            yield own, grams, np.repeat(np.arange(own.stop - a), np.diff(offsets[a : own.stop + 1]))
 
     def loss(point):
-        margin = sign * (np.bincount(rows, values * point[indices], len(toxic)) + point[-1])
-        pull = -sign * np.exp(-np.logaddexp(0, margin))
-        gradient = np.r_[np.bincount(indices, values * pull[rows], len(ratios)), pull.sum()]
-        gradient[:-1] += penalty * point[:-1]
-        return np.logaddexp(0, -margin).sum() + penalty / 2 * point[:-1] @ point[:-1], gradient
+        scaled, gradient = ratios * point[:-1], np.zeros(size + 1)
+        value = penalty / 2 * point[:-1] @ point[:-1]
+        for own, grams, rows in parts():
+            margin = sign[own] * (np.bincount(rows, scaled[grams], own.stop - own.start) + point[-1])
+            pull = -sign[own] * np.exp(-np.logaddexp(0, margin))
+            gradient[:-1] += np.bincount(grams, pull[rows], size)
+            gradient[-1] += pull.sum()
+            value += np.logaddexp(0, -margin).sum()
+        gradient[:-1] = gradient[:-1] * ratios + penalty * point[:-1]
+        return value, gradient
 
     point = np.zeros(len(ratios) + 1)
     value, gradient = loss(point)
