@@ -16,7 +16,8 @@ from shelfmark.functions import rules
 from shelfmark.functions.json_text import with_repaired_json
 from shelfmark.functions.prompts import with_prompt
 from shelfmark.operators import tag_maps as ops
-from shelfmark.operators.model import rule_model, with_model_tags
+from registered.stand_ins import rule_model
+from shelfmark.operators.model import with_model_tags
 from shelfmark.plans.regex_gold import regex_gold
 from shelfmark.sources.shared import stored
 from shelfmark.sources.tables import register_view

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # ---------------------------------------------------------------------------
 # Results depend on these words, names and their order.
 # ---------------------------------------------------------------------------
@@ -109,7 +111,7 @@ MODEL_TAGS = {
     ],
 }
 MODEL_SETTINGS = {"temperature": 0.01, "max_tokens": 500}
-MODEL_QUESTION = "Tag the following product description:"
+MODEL_QUESTION = "Label this product:"
 DESCRIPTION_SLOT = "{PRODUCT_DESCRIPTION}"
 FLAG_KEYS = ["Occasion", "Age Range"]
 
@@ -137,9 +139,27 @@ def word_pattern(words: list[str], bounded: bool = False, fold_case: bool = True
         words = [word.lower() for word in words]
     width = min(3, *(len(word) for word in words))
     letters = ("".join(sorted({word[i] for word in words})) for i in range(width))
-    ahead = "".join(f"[{some}]" for some in letters)
-    body = f"({'|'.join(words)})"
-    return f"(?={ahead})" + (rf"\b{body}\b" if bounded else body)
+    ahead = "".join(f"[{_escaped(some, CLASS_SIGNS)}]" for some in letters)
+    plain = [_escaped(word, SIGNS) for word in words]
+    if not bounded:
+        return f"(?={ahead})({'|'.join(plain)})"
+    # A word that begins or ends with a sign has no word boundary there.
+    before, after = (all(re.match(r"\w", word[i]) for word in words) for i in (0, -1))
+    if before and after:
+        return rf"(?={ahead})\b({'|'.join(plain)})\b"
+    edged = (
+        (r"\b" if re.match(r"\w", word[0]) else "") + text + (r"\b" if re.match(r"\w", word[-1]) else "")
+        for word, text in zip(words, plain)
+    )
+    return f"(?={ahead})({'|'.join(edged)})"
+
+
+SIGNS = r"\^$.|?*+()[]{}"
+CLASS_SIGNS = r"\^-[]&"
+
+
+def _escaped(text: str, signs: str) -> str:
+    return "".join("\\" + c if c in signs else c for c in text)
 
 
 def tag_patterns(

@@ -40,7 +40,7 @@ def product_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 def deduplicate(
     df: DataFrame, key: str = KEY, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """Keep one row per key: the first in ``order``, by default in all other columns.
+    """Keep one row per key: the first in ``order``, by default by a hash of the other columns.
 
     NULL keys count as one key. A fixed survivor gives the same table when a
     lost executor's tasks are run again. Each map task keeps at most one row
@@ -48,7 +48,9 @@ def deduplicate(
     share of the rows sends a few rows only.
     """
     if order is None:
-        order = [F.col(c).asc_nulls_last() for c in df.columns if c != key]
+        # The hash decides nearly always; the columns are compared where two rows share it.
+        others = [c for c in df.columns if c != key]
+        order = [F.xxhash64(*others), *(F.col(c).asc_nulls_last() for c in others)] if others else []
     first = Window.partitionBy(key).orderBy(*(order or [F.lit(1)]))
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,30 +44,3 @@ def with_embedding(
     # Nondeterministic to the optimizer: a filter on the vector must not be
     # moved below it, which would embed each text a second time.
     return df.withColumn(out, vectors.asNondeterministic()(F.col(text)))
-
-
-def hashed_words(dim: int = 64) -> Embedder:
-    """A stand-in for a hosted embedding model: hashed word counts of unit length.
-
-    A word is a run of characters other than blanks and line breaks, in lower
-    case; its slot is the first 32 bits of its MD5 modulo ``dim``.
-    """
-    slots: dict[str, int] = {}
-
-    def slot(word: str) -> int:
-        found = slots.get(word)
-        if found is None:
-            if len(slots) >= 1_000_000:
-                slots.clear()
-            found = slots[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-        return found
-
-    def embed(texts: list[str]) -> np.ndarray:
-        rows = np.zeros((len(texts), dim))
-        for row, text in zip(rows, texts):
-            words = [slot(word) for word in re.split("[ \n]+", text.lower()) if word]
-            row += np.bincount(words, minlength=dim) if words else 0
-        length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        return np.divide(rows, length, out=rows, where=length > 0)
-
-    return embed

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -62,28 +61,3 @@ def with_model_tags(
     if partitions is not None:
         df = df.repartition(partitions)
     return df.withColumn(out, answers.asNondeterministic()(F.col(text)))
-
-
-def rule_model(settings: dict) -> Model:
-    """A stand-in for a hosted model: tags the words of the allowed values it sees.
-
-    Categories without a hit are left out of the answer, as a real model may.
-    """
-    import json
-
-    patterns = {
-        category: [
-            (value, re.compile(rf"\b{re.escape(value.split()[0].lower())}\b")) for value in values
-        ]
-        for category, values in sorted(rules.MODEL_TAGS.items())
-    }
-
-    def answer(request: Request) -> str:
-        text = request.description.lower()
-        found = {
-            category: [value for value, pattern in options if pattern.search(text)]
-            for category, options in patterns.items()
-        }
-        return "```" + json.dumps({key: hits for key, hits in found.items() if hits}) + "```"
-
-    return lambda requests: [answer(request) for request in requests]

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.json_text import any_key_contains, with_repaired_json, with_tag_map
 
-# Columns a flag table may grow to; past it, use flag_rows.
-MAX_FLAGS = 2000
-
 
 def with_parsed_tags(
     df: DataFrame,
@@ -48,10 +45,14 @@ def distinct_values(df: DataFrame, tags: str) -> DataFrame:
     return values.filter(F.col("Value").isNotNull()).distinct()
 
 
-def collect_values(df: DataFrame, tags: str, most: int = MAX_FLAGS) -> list[str]:
-    """The distinct values, sorted; refuses more than ``most`` instead of cutting them."""
-    rows = distinct_values(df, tags).limit(most + 1).collect()
-    if len(rows) > most:
+def collect_values(df: DataFrame, tags: str, most: int | None = None) -> list[str]:
+    """The distinct values, sorted, for flag columns; refuses more than ``most``, if given.
+
+    Columns have to be named on the driver. For values without a bound, ``flag_rows`` needs no such list.
+    """
+    found = distinct_values(df, tags)
+    rows = (found if most is None else found.limit(most + 1)).collect()
+    if most is not None and len(rows) > most:
         raise ValueError(f"more than {most} distinct tag values: use flag_rows for these")
     return sorted(row["Value"] for row in rows)
 

@@ -3,16 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.rules import FLAG_KEYS
 from ..operators.catalogue import KEY
 from ..operators.model import Model, with_model_tags
-from ..operators.tag_maps import collect_values, first_rows, with_parsed_tags, with_value_flags
+from ..operators.tag_maps import collect_values, first_rows, flag_rows, with_parsed_tags, with_value_flags
+from ..sources.shared import stored
 from ..sources.tables import read_table, write_table
 
 TAGS = "cleaned_tagged_description"
+TEXT = "concatenated_text"
+ANSWER = "tagged_description"
+
+
+def answers_kept(
+    spark: SparkSession,
+    source: DataFrame,
+    memory_table: str,
+    make_model: Callable[[dict], Model],
+    partitions: int,
+    rounds: int = 1,
+) -> DataFrame:
+    """The source with the model's answers; a text that has one in ``memory_table`` is not asked again.
+
+    Texts are told apart by their SHA-256. Each of ``rounds`` parts is kept once it is answered, so
+    a failure costs the answers of one part.
+    """
+    hashed = source.withColumn("text_hash", F.sha2(TEXT, 256))
+    texts = hashed.where(F.col(TEXT).isNotNull()).groupBy("text_hash").agg(F.min(TEXT).alias(TEXT))
+    part = F.pmod(F.xxhash64("text_hash"), F.lit(rounds))
+    for number in range(rounds):
+        asked = texts.where(part == number)
+        if spark.catalog.tableExists(memory_table):
+            asked = asked.join(read_table(spark, memory_table), "text_hash", "left_anti")
+        got = stored(with_model_tags(asked, make_model, partitions=partitions).select("text_hash", ANSWER), "answers")
+        known = [read_table(spark, memory_table)] if spark.catalog.tableExists(memory_table) else []
+        write_table(reduce(DataFrame.unionByName, [*known, got]), memory_table)
+    return hashed.join(read_table(spark, memory_table), "text_hash", "left").drop("text_hash")
 
 
 def tag_with_model(
@@ -24,15 +55,22 @@ def tag_with_model(
     keys: Sequence[str] = tuple(FLAG_KEYS),
     partitions: int | None = None,
     n: int | None = None,
+    values: Sequence[str] | None = None,
+    rounds: int = 1,
 ) -> DataFrame:
-    """Ask the model, repair and parse its answers, add one flag per value found.
+    """Ask the model, repair and parse its answers, add one flag per value.
 
-    The answers and their parsed form are written once: the values are read
-    from that table before the flag columns can be named, and no model call is
-    repeated for it. ``n`` keeps the first products by key only.
+    Writes the parsed answers (``answer_table``), what the model has said to each text
+    (``<answer_table>_memory``, for later runs), the set flags as rows of key and flag
+    (``<gold_table>_flags``) and the flags as columns (``gold_table``, returned). ``values`` names
+    the columns; without it they are all values found, brought to the driver. ``n`` keeps the first
+    products by key only. ``partitions`` calls run at a time, as many as the session's shuffle
+    partitions if not given; in ``rounds`` parts, each kept once it is answered.
     """
     source = first_rows(read_table(spark, silver_table), n, [KEY])
-    answers = with_model_tags(source, make_model, partitions=partitions)
+    at_once = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    answers = answers_kept(spark, source, f"{answer_table}_memory", make_model, at_once, rounds)
     parsed = write_table(with_parsed_tags(answers), answer_table)
-    flagged = with_value_flags(parsed, TAGS, collect_values(parsed, TAGS), keys)
-    return write_table(flagged, gold_table)
+    write_table(flag_rows(parsed, TAGS, KEY, keys), f"{gold_table}_flags")
+    chosen = collect_values(parsed, TAGS) if values is None else values
+    return write_table(with_value_flags(parsed, TAGS, chosen, keys), gold_table)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import rules
 from shelfmark.functions.prompts import with_prompt
-from shelfmark.operators.model import rule_model, with_model_tags
+from registered.stand_ins import rule_model
+from shelfmark.operators.model import with_model_tags
 from shelfmark.plans.model_gold import tag_with_model
 from shelfmark.sources.tables import use_schema
 
@@ -106,9 +107,68 @@ def test_tagging_run(spark, tmp_path):
         assert rows["christmas for kids"].flag_Kids == 1
         assert rows["space adults"].flag_Kids is None
         assert rows[None].flag_Adults is None
+        tag_with_model(spark, "silver", "answers", "gold", make)
+        assert calls.value == 3
+        assert {tuple(r) for r in spark.table("gold_flags").collect()} >= {("0", "flag_Kids"), ("1", "flag_Adults")}
+        named = tag_with_model(spark, "silver", "answers", "gold", make, values=["Space", "Marvel"])
+        assert [c for c in named.columns if c.startswith("flag_")] == ["flag_Marvel", "flag_Space"]
         few = tag_with_model(spark, "silver", "answers", "gold", rule_model, n=1)
         assert [r.concatenated_text for r in few.collect()] == ["christmas for kids"]
         assert "flag_Space" not in few.columns
     finally:
         spark.catalog.setCurrentDatabase(before)
         spark.sql("DROP DATABASE test_model CASCADE")
+
+
+def test_a_failed_run_keeps_the_parts_it_has_written(spark, tmp_path):
+    from shelfmark.plans.model_gold import answers_kept
+
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_rounds", str(tmp_path / "r"))
+    try:
+        source = products(spark, *[f"text {i}" for i in range(60)])
+        calls = spark.sparkContext.accumulator(0)
+
+        def model_for(broken):
+            def make(settings):
+                def model(requests):
+                    calls.add(len(requests))
+                    if broken and any(r.description == "text 0" for r in requests):
+                        raise ValueError("model down")
+                    return ["[]"] * len(requests)
+
+                return model
+
+            return make
+
+        with pytest.raises(Exception, match="model down"):
+            answers_kept(spark, source, "memory", model_for(True), 3, rounds=6)
+        kept = spark.table("memory").count() if spark.catalog.tableExists("memory") else 0
+        first = calls.value
+        assert answers_kept(spark, source, "memory", model_for(False), 3, rounds=6).count() == 60
+        assert calls.value - first == 60 - kept
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE test_rounds CASCADE")
+
+
+def test_first_rows_are_asked_by_many_tasks_and_thousands_of_values_give_flags(spark, tmp_path):
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_values", str(tmp_path / "v"))
+    try:
+        products(spark, *[f"text {i}" for i in range(60)]).write.saveAsTable("silver")
+        made = spark.sparkContext.accumulator(0)
+
+        def make(settings):
+            made.add(1)
+            return lambda requests: [
+                json.dumps({"Occasion": [f"v{r.description[5:]}x{j}" for j in range(50)]}) for r in requests
+            ]
+
+        gold = tag_with_model(spark, "silver", "answers", "gold", make, n=60, values=["v0x0"])
+        assert made.value == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.table("gold_flags").select("flag").distinct().count() == 3000
+        assert gold.columns[-1] == "flag_v0x0"
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE test_values CASCADE")

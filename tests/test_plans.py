@@ -6,9 +6,9 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import plan
-from shelfmark.operators.embedding import hashed_words
+from registered.stand_ins import hashed_words
 from shelfmark.operators.index import index_changes, refreshed, sync_index
-from shelfmark.operators.model import rule_model
+from registered.stand_ins import rule_model
 from shelfmark.plans.ingest import ingest
 from shelfmark.plans.model_gold import tag_with_model
 from shelfmark.plans.regex_gold import coverage, tag_catalogue

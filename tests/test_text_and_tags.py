@@ -146,3 +146,16 @@ def test_tag_filter_and_ilike(spark):
     )
     assert tagged_any(df, {"occasion_type": "christmas", "age_range": "kids"}).count() == 2
     assert column(containing(df, "age_range", "%DULT%"), "age_range") == ["adults"]
+
+
+def test_words_with_signs(spark):
+    from shelfmark.functions.rules import word_pattern
+
+    rows = ["a 3-in-1 set", "learn c++ now", "a^b", "[x]", "ab", "c", "x", "c++c"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    words = ["3-in-1", "c++", "a^b", "[x]"]
+    for bounded in (False, True):
+        pattern = word_pattern(words, bounded)
+        got = {r.t: r.m for r in df.select("t", F.regexp_extract("t", pattern, 0).alias("m")).collect()}
+        assert [got[r] for r in rows[:4]] == words
+        assert [got[r] for r in rows[4:7]] == ["", "", ""]
