@@ -42,17 +42,17 @@ def with_group_tags(df: DataFrame, patterns: dict[str, str], text: str = CLEAN)
     return with_tags(df, patterns, text, group=1)
 
 
-def category(text: str = LOWER) -> Column:
-    """The match of the last category that has one, else the unknown category."""
-    found = [
-        F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
-        for pattern in rules.tag_patterns(rules.CASCADE_TAGS).values()
-    ]
-    return F.coalesce(*reversed(found), F.lit(rules.UNKNOWN_CATEGORY))
-
-
 def with_category(df: DataFrame, text: str = LOWER, out: str = "category") -> DataFrame:
-    return df.withColumn(out, category(text))
+    """The match of the last category that has one, else the unknown category.
+
+    Each match is named in a step of its own: used twice, it is still searched for once.
+    """
+    patterns = rules.tag_patterns(rules.CASCADE_TAGS).values()
+    steps = {f"_match{i}": F.regexp_extract(text, p, 0) for i, p in enumerate(patterns)}
+    found = [F.nullif(F.col(name), F.lit("")) for name in reversed(steps)]
+    return df.withColumns(steps).withColumn(
+        out, F.coalesce(*found, F.lit(rules.UNKNOWN_CATEGORY))
+    ).drop(*steps)
 
 
 def with_flags(df: DataFrame) -> DataFrame:
