@@ -63,8 +63,8 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments_of(text: bytes, length: int = LENGTH, gram: int = GRAM):
-    """Anchor hash and first and beyond-last window of every segment of a text."""
-    anchors, firsts, beyonds = [], [], []
+    """Anchor hash, first and beyond-last window and place of the anchor of every segment of a text."""
+    anchors, firsts, beyonds, places = [], [], [], []
     windows = len(text) - length + 1
     raw = np.frombuffer(text, np.uint8)
     place_bits = np.uint64(21)
@@ -72,16 +72,16 @@ def segments_of(text: bytes, length: int = LENGTH, gram: int = GRAM):
         n = min(PART, windows - low)
         h = gram_hashes(raw[low : low + n + length - 1], gram)
         # The place breaks ties for the leftmost and comes along with the minimum.
-        places = np.arange(len(h), dtype=np.uint64)
-        key = (h >> place_bits << place_bits) | places
+        key = (h >> place_bits << place_bits) | np.arange(len(h), dtype=np.uint64)
         at = (sliding_least(key, length - gram + 1) & np.uint64((1 << 21) - 1)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         anchors.append(h[at[first]])
         firsts.append(first + low)
         beyonds.append(np.r_[first[1:], n] + low)
+        places.append(at[first] + low)
     if not anchors:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(anchors), np.concatenate(firsts), np.concatenate(beyonds)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    return tuple(map(np.concatenate, (anchors, firsts, beyonds, places)))
 
 
 # --- Merging transforms ----------------------------------------------------------------------
@@ -190,12 +190,12 @@ def _stable(x: np.ndarray) -> np.ndarray:
 def _found_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def find(batches):
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[] for _ in range(6)]
             for text in raw_texts(batch["text"]):
                 if text is None or len(text) < length:
                     continue
                 uid = hashlib.md5(text).digest()
-                anchors, first, beyond = segments_of(text, length, gram)
+                anchors, first, beyond, place = segments_of(text, length, gram)
                 digest = xxhash.xxh3_64_intdigest
                 pieces = np.fromiter(
                     (digest(text[a : b + length - 1]) for a, b in zip(first.tolist(), beyond.tolist())),
@@ -206,19 +206,20 @@ def _found_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 columns[2] += [uid] * len(first)
                 columns[3].append(first.astype(np.int32))
                 columns[4].append(beyond.astype(np.int32))
+                columns[5].append((place - first).astype(np.int32))
             if columns[2]:
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c) if i != 2 else c, t) for i, (c, t) in enumerate(zip(columns, kinds))],
-                    names=["anchor", "piece", "uid", "a", "b"],
+                    names=["anchor", "piece", "uid", "a", "b", "p"],
                 )
 
-    return docs.select("text").mapInArrow(find, "anchor long, piece long, uid binary, a int, b int")
+    return docs.select("text").mapInArrow(find, "anchor long, piece long, uid binary, a int, b int, p int")
 
 
 def _with_bytes(pieces: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The bytes of segments, cut from one copy of their text."""
-    wanted = pieces.groupBy("uid").agg(F.collect_list(F.struct("anchor", "piece", "n", "a", "b")).alias("cuts"))
+    wanted = pieces.groupBy("uid").agg(F.collect_list(F.struct("anchor", "piece", "n", "a", "b", "p")).alias("cuts"))
     first = Window.partitionBy("uid").orderBy(F.lit(0))
     one = docs.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("uid", "text")
 
@@ -235,12 +236,12 @@ def _with_bytes(pieces: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 i += n
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [rows.field("anchor"), rows.field("piece"), rows.field("n"), pa.array(out, pa.binary())],
-                    names=["anchor", "piece", "n", "body"],
+                    [*(rows.field(n) for n in ("anchor", "piece", "n", "p")), pa.array(out, pa.binary())],
+                    names=["anchor", "piece", "n", "p", "body"],
                 )
 
     return one.join(wanted, "uid").select("text", "cuts").mapInArrow(
-        cut, "anchor long, piece long, n long, body binary"
+        cut, "anchor long, piece long, n long, p int, body binary"
     )
 
 
@@ -252,29 +253,57 @@ def _runs(flags: np.ndarray) -> list[dict]:
     return [{"a": a, "b": b} for a, b in zip(edges[::2], edges[1::2])]
 
 
-def _merged(bodies: DataFrame, length: int, symbol: int, block: int, shard: int) -> DataFrame:
+def may_repeat(rows: list[tuple], length: int, gram: int) -> list[tuple]:
+    """The segments ``(anchor, piece, n, p, body)`` that can hold a repeated window.
+
+    A window reaches at least half of what it has besides the anchor's gram to its left or to its
+    right. So it can only be repeated if the gram with that many bytes to one side is.
+    """
+    half = -(-(length - gram) // 2)
+    keys: list[tuple] = []
+    counts: dict[tuple, int] = {}
+    for anchor, _, n, p, body in rows:
+        sides = [("right", anchor, body[p : p + gram + half]), ("left", anchor, body[p - half : p + gram] if p >= half else b"")]
+        sides = [(side, anchor, xxhash.xxh3_64_intdigest(x)) for side, anchor, x in sides if len(x) == gram + half]
+        keys.append(tuple(sides))
+        for side in sides:
+            counts[side] = counts.get(side, 0) + n
+    return [row for row, sides in zip(rows, keys) if any(counts[side] > 1 for side in sides)]
+
+
+def _merged(bodies: DataFrame, length: int, gram: int, symbol: int, block: int, shard: int) -> DataFrame:
     """Repeated windows of segments, block by block; all segments of an anchor are in one block."""
 
     def merge(batches):
         held: list[tuple] = []
+        group: list[tuple] = []
         size = 0
 
         def done():
             if held:
-                found = repeated_windows([h[3] for h in held], [h[2] for h in held], length, symbol, shard)
+                found = repeated_windows([h[4] for h in held], [h[2] for h in held], length, symbol, shard)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int64()),
                      pa.array([_runs(f) for f in found], RUNS)],
                     names=["anchor", "piece", "runs"],
                 )
 
+        def taken():
+            nonlocal held, group, size
+            new = may_repeat(group, length, gram)
+            held += new
+            size += sum(len(row[4]) for row in new)
+            group = []
+            if size >= block:
+                yield from done()
+                held, size = [], 0
+
         for batch in batches:
-            for row in zip(*(batch[n].to_pylist() for n in ("anchor", "piece", "n", "body"))):
-                if size >= block and row[0] != held[-1][0]:
-                    yield from done()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3])
+            for row in zip(*(batch[n].to_pylist() for n in ("anchor", "piece", "n", "p", "body"))):
+                if group and row[0] != group[0][0]:
+                    yield from taken()
+                group.append(row)
+        yield from taken()
         yield from done()
 
     laid_out = bodies.repartition("anchor").sortWithinPartitions("anchor", "piece")
@@ -319,11 +348,11 @@ def repeated_spans(
     shared = stored(counts.where("n > 1").select("anchor", "mixed"), "anchors-often")
     linked = stored(anchors.join(shared, "anchor"), "anchors-shared")
     pieces = linked.where("mixed").groupBy("anchor", "piece").agg(
-        F.count("*").alias("n"), F.min(F.struct("uid", "a", "b")).alias("at")
+        F.count("*").alias("n"), F.min(F.struct("uid", "a", "b", "p")).alias("at")
     ).select("anchor", "piece", "n", "at.*")
     bodies = stored(_with_bytes(pieces, docs, length), "segments")
     many = bodies.groupBy("anchor").count().where(F.col("count") > group_limit).select("anchor")
-    solved = _merged(bodies.join(many, "anchor", "left_anti"), length, symbol, block, shard)
+    solved = _merged(bodies.join(many, "anchor", "left_anti"), length, gram, symbol, block, shard)
     counted = _counted(bodies.join(many, "anchor", "left_semi"), length)
     runs = solved.where(F.size("runs") > 0).union(counted)
     places = linked.select("anchor", "piece", "uid", "a", "b", "mixed").distinct()

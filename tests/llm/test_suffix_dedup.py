@@ -50,12 +50,12 @@ def test_merged_transforms(segments, sizes, shard, data):
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=300).map(lambda b: bytes(x & 3 for x in b)))
 def test_equal_windows_have_equal_anchors(text):
-    anchors, first, beyond = suffix_dedup.segments_of(text, 20, 4)
+    anchors, first, beyond, place = suffix_dedup.segments_of(text, 20, 4)
     assert [i for a, b in zip(first, beyond) for i in range(a, b)] == list(range(max(0, len(text) - 19)))
     seen = {}
-    for h, a, b in zip(anchors, first, beyond):
+    for h, a, b, p in zip(anchors, first, beyond, place):
         for i in range(a, b):
-            assert seen.setdefault(text[i : i + 20], h) == h
+            assert i <= p <= i + 16 and seen.setdefault(text[i : i + 20], (h, p - i)) == (h, p - i)
 
 
 def rows(frame):
