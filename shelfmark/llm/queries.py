@@ -111,4 +111,31 @@ QUERIES = {
     "op9_wu_manber": op9_wu_manber,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+# The others have no SQL: tokenizers, fitted models, XXH64, packing and graph search are beyond it,
+# and 400-byte windows of all texts too slow. They are tested against brute force.
+ORACLES = {
+    "op9_wu_manber": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS body
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS body
+  FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d CROSS JOIN sizes)),
+hits AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (n, body)),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS found
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(found, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
