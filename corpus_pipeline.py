@@ -27,11 +27,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Every document stays, also one with nothing left; ``n_chars`` counts what is left of it. A
     null text stays null.
     """
-    cut = suffix_dedup.with_repeats_removed(docs)
+    cut = suffix_dedup.with_repeats_removed(docs, as_text=True)
     row = F.col("row")
     shorter = F.col("cut.n_removed") > 0
     changed = {
-        "text": F.when(shorter, suffix_dedup.valid_text(F.col("cut.kept"))).otherwise(row.getField("text")),
+        "text": F.when(shorter, F.col("cut.kept")).otherwise(row.getField("text")),
     }
     changed["n_chars"] = F.when(shorter, F.length(changed["text"]).cast("long")).otherwise(row.getField("n_chars"))
     return cut.select(*(changed.get(n, row.getField(n)).alias(n) for n in docs.columns))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ def column(name: str) -> Column:
 
 def texts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Only the id and the text, as ``doc_id`` and ``text``: other columns cannot clash."""
-    return df.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
+    return bounded_batches(df).select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
 
 
 def raw_texts(array: pa.Array) -> Iterator[bytes | None]:
@@ -47,6 +48,22 @@ def ragged(parts: list[np.ndarray], dtype: str) -> tuple[np.ndarray, np.ndarray]
     return offsets, np.concatenate(parts).astype(dtype) if parts else np.zeros(0, dtype)
 
 
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """See that texts reach Python in batches of a few MB, whatever their length; returns ``df``.
+
+    The session's batch size is lowered where it is larger, which changes no result.
+    """
+    conf = df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)b?", conf.get(BATCH_SETTING))
+    if now is None or int(now[1]) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df
+
+
 def in_spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over the session's shuffle partitions."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import WORD_TABLE, column, raw_texts, texts
+from .common import WORD_TABLE, bounded_batches, column, raw_texts, texts
 
 WINDOW = 10
 # Words of benchmark items that one pass over the documents searches for. The broadcast tables of
@@ -226,7 +226,7 @@ def without_contaminated(
 
 
 def _hit(docs: DataFrame, text: str, block: list, window: int) -> Column:
-    search = docs.sparkSession.sparkContext.broadcast(_search(block, window))
+    search = bounded_batches(docs).sparkSession.sparkContext.broadcast(_search(block, window))
 
     @F.arrow_udf("boolean")
     def hit(batch: pa.Array) -> pa.Array:

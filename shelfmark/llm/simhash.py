@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import TOKEN_TABLE, column, raw_texts
+from .common import TOKEN_TABLE, bounded_batches, column, raw_texts
 from .components import components
 
 SHINGLE = 4
@@ -51,7 +51,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint
         found = np.fromiter((fingerprint_of(t, shingle) for t in raw_texts(batch)), np.uint64, len(batch))
         return pa.array(found.view(np.int64))
 
-    return df.withColumn(name, fingerprint(column(text).cast("string")))
+    return bounded_batches(df).withColumn(name, fingerprint(column(text).cast("string")))
 
 
 def _postings(prints: DataFrame, shared: int) -> DataFrame:

@@ -19,18 +19,18 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import raw_texts
+from .common import bounded_batches, raw_texts
 from .decontaminate import joined
 
 LENGTH = 400
 GRAM = 128  # bytes of an anchor
 SYMBOL = 16  # bytes of a symbol of the transforms
 SHARD_BYTES = 1 << 18
-BLOCK_BYTES = 1 << 21  # segments that one merge holds
+BLOCK_BYTES = 1 << 20  # segments that one merge holds
 # Different segments of one anchor that are merged in one block. The windows of anchors with more
 # are counted one by one over all tasks, which needs no group in one place.
 GROUP_LIMIT = 2_000
@@ -368,11 +368,12 @@ def repeated_spans(
 
 def with_repeats_removed(
     docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, symbol: int = SYMBOL,
-    block: int = BLOCK_BYTES, shard: int = SHARD_BYTES, group_limit: int = GROUP_LIMIT,
+    block: int = BLOCK_BYTES, shard: int = SHARD_BYTES, group_limit: int = GROUP_LIMIT, as_text: bool = False,
 ) -> DataFrame:
     """``row`` (the given row as a struct) and ``cut``: its bytes after and numbers of the removal.
 
-    ``cut`` has ``n_bytes, n_removed, n_spans`` and ``kept``, the remaining bytes in their order.
+    ``cut`` has ``n_bytes, n_removed, n_spans`` and ``kept``, the remaining bytes in their order;
+    ``as_text`` gives them as text, without the rests of characters that were cut apart.
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else in the texts
     as given, overlaps included; matches never cross texts. A null text is empty and stays so;
     texts under ``length`` bytes stay whole, and the bytes of rows with equal texts all go if
@@ -383,12 +384,14 @@ def with_repeats_removed(
     if length % symbol or gram > length or gram & (gram - 1) or symbol & (symbol - 1):
         raise ValueError("length must be a multiple of symbol; symbol and gram powers of two")
     body = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"))
+    rows = bounded_batches(docs).select(F.struct("*").alias("row"))
     keyed = rows.select("row", F.unhex(F.md5(body.cast("binary"))).alias("uid"))
     texts = rows.select(F.unhex(F.md5(body.cast("binary"))).alias("uid"), body.alias("text"))
     spans = repeated_spans(texts, length, gram, symbol, block, shard, group_limit)
 
-    @F.arrow_udf("struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>")
+    kind, shape = ("string", CUT_TEXT) if as_text else ("binary", CUT)
+
+    @F.arrow_udf(f"struct<n_bytes:long,n_removed:long,n_spans:long,kept:{kind}>")
     def cut(bodies: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for body, own in zip(raw_texts(bodies), spans.to_pylist()):
@@ -399,20 +402,14 @@ def with_repeats_removed(
                 at = b
             kept.append(body[at:])
             removed = sum(b - a for a, b in gone)
-            out.append({"n_bytes": len(body), "n_removed": removed, "n_spans": len(gone), "kept": b"".join(kept)})
-        return pa.array(out, CUT)
+            left = b"".join(kept)
+            left = left.decode(errors="ignore") if as_text else left
+            out.append({"n_bytes": len(body), "n_removed": removed, "n_spans": len(gone), "kept": left})
+        return pa.array(out, shape)
 
     return keyed.join(spans, "uid", "left").select("row", cut(body, F.col("spans")).alias("cut"))
 
 
-def valid_text(kept: Column) -> Column:
-    """Bytes as text, without the rests of characters that were cut apart."""
-
-    @F.arrow_udf("string")
-    def decode(bodies: pa.Array) -> pa.Array:
-        return pa.array([b.as_py().decode(errors="ignore") if b.is_valid else None for b in bodies], pa.string())
-
-    return decode(kept)
-
-
-CUT = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+COUNTS = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
+CUT = pa.struct([*COUNTS, ("kept", pa.binary())])
+CUT_TEXT = pa.struct([*COUNTS, ("kept", pa.string())])

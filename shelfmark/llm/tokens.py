@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -40,7 +40,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.bounds = np.zeros(1 << 18, np.int64)
 
@@ -71,27 +71,29 @@ class WordEncoder:
         ids = [self._ids(w) for w in words]
         n = len(self.code)
         a = int(self.bounds[n])
-        ends = a + np.cumsum([len(i) for i in ids])
+        ends = a + np.cumsum([len(i) // 4 for i in ids])
         self.flat = _room(self.flat, int(ends[-1]))
         self.bounds = _room(self.bounds, n + len(words) + 1)
-        self.flat[a : ends[-1]] = list(chain.from_iterable(ids))
+        self.flat[a : ends[-1]] = np.frombuffer(b"".join(ids), np.uint32)
         self.bounds[n + 1 : n + 1 + len(words)] = ends
         self.code.update(zip(words, range(n, n + len(words))))
 
-    def _ids(self, word: bytes) -> list[int]:
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word, four bytes each."""
         core = word.rstrip(MARKS)
         spelled = core.decode(errors="replace")
         if not _plain(spelled):
-            return self.whole(word.decode(errors="replace"))
+            return array("I", self.whole(word.decode(errors="replace"))).tobytes()
         ids = self._part(spelled if core.isascii() else spelled.lower())
         return ids if len(core) == len(word) else ids + self._part(word[len(core) :].decode())
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         """Ids of letters or of marks, which a word never mixes in one piece."""
         ids = self.parts.get(part)
         if ids is None:
             spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+            self.parts[part] = ids
         return ids
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, in_spread, raw_texts, texts
+from .common import bounded_batches, column, in_spread, raw_texts, texts
 
 ORDERS = (4, 6, 8)
 DIMENSIONS = 1 << 19
@@ -37,7 +37,7 @@ def word_features(word: str, dimensions: int) -> np.ndarray:
     grams = {
         marked[i : i + n] for n in ORDERS for i in range(max(1, len(marked) - n + 1))
     }
-    return np.array([zlib.crc32(g.encode()) % dimensions for g in grams], np.int64)
+    return np.array([zlib.crc32(g.encode()) % dimensions for g in grams], np.int32)
 
 
 class Features:
@@ -50,7 +50,7 @@ class Features:
     def of(self, text: bytes | None) -> np.ndarray:
         words = set(text.lower().translate(WORDS).split()) if text else ()
         if not words:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int32)
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
@@ -156,7 +156,7 @@ def fit(
     def extract(batches):
         features = Features(dimensions)
         for batch in batches:
-            found = [features.of(t).astype(np.int32).tobytes() for t in raw_texts(batch["text"])]
+            found = [features.of(t).tobytes() for t in raw_texts(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(found, pa.binary())], names=["toxic", "grams"])
 
     def learn(batches):
@@ -185,6 +185,7 @@ def fit(
 
 def toxicity(df: DataFrame, text: str, model: Model) -> Column:
     """The probability that a text is toxic. Null and empty texts get that of a text without n-grams."""
+    bounded_batches(df)
     sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf("double")
