@@ -111,7 +111,8 @@ def score_documents(
     slim = texts(docs, doc_id, text)
     words = vocabulary(slim, size)
     ids = target.select(column(target_id).alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    marked = slim.join(ids.withColumn("target", F.lit(True)), "doc_id", "left")
+    # Joined by a merge at every size: ids of targets have no bound that would let them be broadcast.
+    marked = slim.join(ids.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
     counts = transition_counts(marked.select("text", "target"), words)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(
