@@ -83,12 +83,18 @@ def best_fit_decreasing(counts: dict[int, int], limit: int = LIMIT) -> list[Run]
                 continue
             first, n = groups[room].pop()
             tree.add(room, -1)
-            used = min(n, number - done)
-            runs.append(Run(length, done, used, first, limit - room))
-            put_back(room - length, first, used)
-            if n > used:
-                put_back(room, first + used, n - used)
-            done += used
+            # A sequence that takes a piece is the tightest for the next one, until it has no room.
+            per = room // length
+            each, rest = divmod(number - done, per)
+            for bins, k in ((min(n, each), per), (1 if each < n else 0, rest)):
+                if bins and k:
+                    for j in range(k):
+                        runs.append(Run(length, done, bins, first, limit - room + j * length))
+                        done += bins
+                    put_back(room - k * length, first, bins)
+                    first, n = first + bins, n - bins
+            if n:
+                put_back(room, first, n)
     return runs
 
 

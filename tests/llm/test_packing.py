@@ -37,7 +37,7 @@ def check_all_placed(filled, lengths):
     assert got == sorted((n, i) for n, k in counted(lengths).items() for i in range(k))
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(LENGTHS)
 def test_best_fit_decreasing_is_that_of_single_pieces(lengths):
     filled = bins(packed_ids.best_fit_decreasing(counted(lengths), 40), 40)
@@ -52,7 +52,7 @@ def test_best_fit_decreasing_is_that_of_single_pieces(lengths):
     assert sorted(40 - sum(x[1] for x in p) for p in filled.values()) == sorted(rooms)
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(LENGTHS)
 def test_best_two_fit_places_everything(lengths):
     filled = bins(best_two_fit.best_two_fit(counted(lengths), 40), 40)
