@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -91,9 +92,13 @@ def test_word_encoder_gives_the_tokenizers_ids(text):
         assert encoder(t.encode()).tolist() == [*expected, 0]
 
 
+@cache
+def whole_tokenizer():
+    return Tokenizer.from_file(tokenizer_path())
+
+
 def encoded(text):
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [*(tokenizer.encode(text, add_special_tokens=False).ids if text else []), 0]
+    return [*(whole_tokenizer().encode(text, add_special_tokens=False).ids if text else []), 0]
 
 
 def digest(ids):
