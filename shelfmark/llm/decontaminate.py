@@ -87,7 +87,7 @@ def _search(rows: list, window: int) -> tuple[list[tuple], dict]:
     items = defaultdict(list)
     for item_id, text in rows:
         for w in windows_of(words_of(text.encode()), window):
-            items[w].append(str(item_id))
+            items[w].append(None if item_id is None else str(item_id))
     return [tuple(m) for m in machines(items)], dict(items)
 
 
@@ -99,7 +99,7 @@ def _pass(docs: DataFrame, block: list, window: int) -> DataFrame:
         found, items_of = search.value
         found = [Machine(*m) for m in found]
         for batch in batches:
-            counts, runs, items = [], [], []
+            counts, runs, items, unnamed = [], [], [], []
             for text in raw_texts(batch["text"]):
                 words = words_of(text)
                 hits, seen = [], set()
@@ -109,15 +109,16 @@ def _pass(docs: DataFrame, block: list, window: int) -> DataFrame:
                         seen.update(items_of[w])
                 counts.append(len(words))
                 runs.append([{"a": a, "b": b} for a, b in joined(hits)])
-                items.append(sorted(seen))
+                unnamed.append(None in seen)
+                items.append(sorted(seen - {None}))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["doc_id"], pa.array(counts, pa.int64()),
-                 pa.array(runs, RUNS), pa.array(items, pa.list_(pa.string()))],
-                names=["row", "doc_id", "n_words", "runs", "items"],
+                 pa.array(runs, RUNS), pa.array(items, pa.list_(pa.string())), pa.array(unnamed, pa.bool_())],
+                names=["row", "doc_id", "n_words", "runs", "items", "unnamed"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    shape = "runs array<struct<a:int,b:int>>, items array<string>"
+    shape = "runs array<struct<a:int,b:int>>, items array<string>, unnamed boolean"
     return docs.mapInArrow(scan, f"row long, doc_id {kind}, n_words long, {shape}").withColumn("n_hit", _n_hit())
 
 
@@ -137,9 +138,7 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _passes(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list]:
     """Benchmark items in blocks of about ``limit`` words."""
-    rows = benchmark.select(column(item_id).cast("string"), column(text).cast("string")).where(
-        column(text).isNotNull() & column(item_id).isNotNull()
-    )
+    rows = benchmark.select(column(item_id).cast("string"), column(text).cast("string")).where(column(text).isNotNull())
     block, size = [], 0
     for item, body in rows.toLocalIterator():
         block.append((item, body))
@@ -164,13 +163,13 @@ def find_contamination(
     """Words of each document that lie in a benchmark window, and the items these come from.
 
     Returns ``doc_id, n_words, n_hit, runs`` (hit words as [a, b) runs), ``items`` (sorted as
-    strings), one row per input row. Words: A-Z lower-cased, runs of digits, letters and bytes
+    strings) and ``unnamed`` (an item without an id is found too), one row per input row. Words: A-Z lower-cased, runs of digits, letters and bytes
     beyond ASCII. An item of fewer than ``window`` words is one window.
 
     The benchmark is the query set: it is read in blocks of bounded size, and each block is one
     search over all documents without a shuffle. One block is the usual case; several are joined
-    by row. Null and empty texts have no words and no hits; items without a text, without words
-    or without an id are never found; repeated items and rows each count.
+    by row. Null and empty texts have no words and no hits; items without a text or without words
+    are never found, those without an id are not in ``items``; repeated items and rows each count.
     """
     slim = texts(docs, doc_id, text).withColumn("row", F.lit(0).cast("long"))
     blocks = _passes(benchmark, item_id, item_text, words_per_pass)
@@ -185,6 +184,7 @@ def find_contamination(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("runs")).alias("runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.max("unnamed").alias("unnamed"),
     )
     return merged.drop("row").withColumn("runs", _one_run(F.array_sort("runs"))).withColumn("n_hit", _n_hit())
 
