@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import fresh_path
 from . import (
-    best_two_fit, decontaminate, graph_search, license_scan, lm_scoring, packed_ids, ring_shards, simhash,
-    suffix_dedup, toxicity,
+    best_two_fit, decontaminate, graph_search, license_scan, lm_scoring, packed_ids, periodic_runs, ring_shards,
+    simhash, suffix_dedup, toxicity, warc, whitening,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -101,6 +104,42 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives and read back, equal payloads once."""
+    path = fresh_path(spark, "warc")
+    warc.archive_pages(_table(spark, folder, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the four strongest components."""
+    vectors = _table(spark, folder, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a text; those of a tenth of all ids repeat a stretch of themselves from some word on."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, some made periodic, and what is left of it without them."""
+    found = periodic_runs.find_runs(_table(spark, folder, "documents"), rewrite=looped)
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op2_cross_entropy": op2_cross_entropy,
@@ -112,14 +151,28 @@ QUERIES = {
     "op8_ring_shards": op8_ring_shards,
     "op9_wu_manber": op9_wu_manber,
     "op10_simhash": op10_simhash,
+    "op11_warc": op11_warc,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
+# Five hexadecimal digits are four characters of base 32.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {start}, 5) AS BIGINT) >> {shift}) & 31), 1)"
+    for start in range(1, 41, 5) for shift in (15, 10, 5, 0)
+)
 # The others have no SQL: tokenizers, fitted models, XXH64, packing and graph search are beyond it,
-# and 400-byte windows of all texts too slow. They are tested against brute force.
+# and 400-byte windows or all lags of all texts too slow. They are tested against brute force.
 ORACLES = {
+    "op11_warc": f"""
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = least_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = least_id THEN NULL ELSE least_id END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+             min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least_id FROM pages)""",
     "op9_wu_manber": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
