@@ -16,6 +16,8 @@ from shelfmark.operators.cells import (
 )
 from shelfmark.operators.catalogue import deduplicate, is_live, live_products, product_columns
 from registered.stand_ins import hashed_words
+from shelfmark.operators.kept_cells import open_cells, sync_cells
+from shelfmark.operators.pruned import best_matches_of_many
 from shelfmark.operators.embedding import with_embedding
 from shelfmark.operators.index import embedded, index_changes, refreshed, sync_index
 from shelfmark.operators.similarity import best_matches
@@ -93,6 +95,18 @@ def index_sync(spark, folder):
         spark.catalog.setCurrentDatabase(before)
 
 
+def index_parts(spark, folder):
+    """The same, of which a sync writes only the parts with changes."""
+    before = spark.catalog.currentDatabase()
+    try:
+        use_schema(spark, f"shop_{uuid4().hex}", fresh_path(spark, "schema"))
+        sync_index(old_source(spark, folder), "product_index", _embedder, parts=64)
+        sync_index(new_source(spark, folder), "product_index", _embedder, parts=64)
+        return spark.table("product_index").select(KEY, _numbers().alias("numbers"))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def _summed(vectors, query_id):
     """One query per value of ``query_id``: the exact sum of its vectors."""
     parts = vectors.select(
@@ -152,7 +166,14 @@ def search_many_queries(spark, folder):
     index = stored(with_embedding(spread(documents, "doc_id"), _embedder, "text"), "index")
     events = table(spark, folder, "events").selectExpr("event_id", "concat(event_type, ' ', props) AS words")
     queries = with_embedding(spread(events, "event_id"), _embedder, "words")
-    return best_matches(index, queries, 2, "doc_id", query_key="event_id")
+    return best_matches_of_many(index, queries, 2, "doc_id", query_key="event_id")
+
+
+def search_neighbours(spark, folder):
+    """The vectors nearest to each vector, among themselves: as many queries as rows."""
+    vectors = table(spark, folder, "embeddings")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    return best_matches_of_many(vectors, queries, 4, "vec_id", cell_rows=256)
 
 
 def _texts(spark):
@@ -172,11 +193,44 @@ def search_text_filtered(spark, folder):
     return search(index, gold, _texts(spark), _embedder, columns, where=F.col("age_range") == "kids")
 
 
+def _kept(spark, folder):
+    """Gold and its index by cell: created from the catalogue before, then synced to the present one."""
+    gold = stored(regex_gold(silver_catalogue(spark, folder)), "gold")
+    past = old_source(spark, folder).withColumn("age_range", F.lit("kids"))
+    sync_cells(past, "product_cells", _embedder, attributes=["age_range"], cell_rows=256)
+    sync_cells(gold, "product_cells", _embedder, attributes=["age_range"], cell_rows=256)
+    return gold, open_cells(spark, "product_cells")
+
+
+def search_kept_cells(spark, folder):
+    """The searches again, over an index kept by cell."""
+    before = spark.catalog.currentDatabase()
+    try:
+        use_schema(spark, f"shop_{uuid4().hex}", fresh_path(spark, "schema"))
+        gold, kept = _kept(spark, folder)
+        return search(kept, gold, _texts(spark), _embedder)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def search_kept_filtered(spark, folder):
+    """Among products for kids only: cells without any are not read."""
+    before = spark.catalog.currentDatabase()
+    try:
+        use_schema(spark, f"shop_{uuid4().hex}", fresh_path(spark, "schema"))
+        gold, kept = _kept(spark, folder)
+        columns = ["product_name", "age_range"]
+        return search(kept, gold, _texts(spark), _embedder, columns, having={"age_range": ["kids"]})
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 QUERIES = {
     "embed_text": embed_text,
     "index_diff": index_diff,
     "index_refresh": index_refresh,
     "index_sync": index_sync,
+    "index_parts": index_parts,
     "search_topk": search_topk,
     "search_many": search_many,
     "search_filtered": search_filtered,
@@ -185,6 +239,9 @@ QUERIES = {
     "search_many_queries": search_many_queries,
     "search_text": search_text,
     "search_text_filtered": search_text_filtered,
+    "search_neighbours": search_neighbours,
+    "search_kept_cells": search_kept_cells,
+    "search_kept_filtered": search_kept_filtered,
 }
 
 
@@ -359,6 +416,10 @@ WHERE o.text IS DISTINCT FROM n.text""",
         )
         + ")",
     ),
+    "search_neighbours": _ranked_sql(_all, "SELECT vec_id AS query_id, embedding FROM embeddings", "vec_id", 4),
     "search_text": _text_search_sql(RESULT_COLUMNS, "true"),
     "search_text_filtered": _text_search_sql(["product_name", "age_range"], "age_range = 'kids'"),
 }
+ORACLES["index_parts"] = ORACLES["index_sync"]
+ORACLES["search_kept_cells"] = ORACLES["search_text"]
+ORACLES["search_kept_filtered"] = ORACLES["search_text_filtered"]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.shared import stored
+from ..sources.tables import write_table
 from .catalogue import KEY
 from .similarity import (
     SCORES, corpus_blocks, matrix_of, query_blocks, query_vectors, ranked, scored, unit, usable,
@@ -81,15 +82,12 @@ def write_cells(
 ) -> DataFrame:
     """Write the corpus as a table partitioned by cell.
 
+    It is a new version of the table: a failed write leaves the present one in place.
     The rebalance hint brings the rows of a cell together, and lets adaptive
     execution split a cell that holds many of them over several tasks.
     """
-    writer = with_cells(corpus, pivots, key, vector).hint("rebalance", "cell").write
-    writer = writer.mode("overwrite").partitionBy("cell")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return corpus.sparkSession.table(name)
+    laid_out = with_cells(corpus, pivots, key, vector).hint("rebalance", "cell")
+    return write_table(laid_out, name, path=path, partition_by="cell")
 
 
 def cell_bounds(cells: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Accumulator, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,8 +113,13 @@ def corpus_blocks(rows: DataFrame, slots: int | None = None) -> DataFrame:
     return rows.mapInArrow(pack, f"slot int, keys array<{key}>, vectors array<array<float>>")
 
 
-def scored(corpus: DataFrame, blocks: DataFrame, key: str, query_key: str, k: int) -> DataFrame:
-    """(query, key, score): the k best of each query in every two blocks that share a slot."""
+def scored(
+    corpus: DataFrame, blocks: DataFrame, key: str, query_key: str, k: int, counter: Accumulator | None = None
+) -> DataFrame:
+    """(query, key, score): the k best of each query in every two blocks that share a slot.
+
+    ``counter`` adds up the scores computed.
+    """
     schema = T.StructType(
         [
             T.StructField(query_key, blocks.schema["queries"].dataType.elementType[0].dataType),
@@ -123,7 +128,7 @@ def scored(corpus: DataFrame, blocks: DataFrame, key: str, query_key: str, k: in
         ]
     )
     pairs = corpus.join(blocks, "slot").select("keys", "vectors", "queries")
-    return pairs.mapInArrow(_scorer(schema, k), schema)
+    return pairs.mapInArrow(_scorer(schema, k, counter), schema)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -158,7 +163,7 @@ def matrix_of(vectors: pa.ListArray, dim: int | None = None) -> np.ndarray:
     return flat.reshape(len(vectors), dim).astype(np.float64)
 
 
-def _scorer(schema: T.StructType, k: int):
+def _scorer(schema: T.StructType, k: int, counter: Accumulator | None = None):
     """Score pairs of blocks with one matrix product per piece, keep the k best per query."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -187,6 +192,8 @@ def _scorer(schema: T.StructType, k: int):
                 names, asked = queries.field(0).to_pylist(), matrix_of(queries.field(1), vectors.shape[1])
                 out: list[list] = [[], [], []]
                 step = max(1, SCORES // max(1, len(keys)))
+                if counter is not None:
+                    counter.add(len(keys) * len(names))
                 for start in range(0, len(names), step):
                     for name, row in zip(names[start:], cosines(unit(asked[start : start + step]), vectors)):
                         chosen = best(row, keys)

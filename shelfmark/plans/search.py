@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.catalogue import KEY
 from ..operators.embedding import Embedder, with_embedding
+from ..operators.kept_cells import KeptCells, search_cells
 from ..operators.similarity import best_matches
 from ..sources.shared import stored
 
@@ -21,7 +22,7 @@ RESULTS = 3
 
 
 def search(
-    index: DataFrame,
+    index: DataFrame | KeptCells,
     gold: DataFrame,
     texts: DataFrame,
     make_embedder: Callable[[], Embedder],
@@ -30,9 +31,14 @@ def search(
     where: Column | None = None,
     key: str = KEY,
     partitions: int | None = None,
+    having: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
     """The k best products of each query text, with the asked-for columns.
 
+    An index kept by cell (``open_cells``) is read only where a match can be; any other is scanned
+    whole, with the same answer. ``having`` names the values that attributes of a kept index must
+    have, and cells without any of them are not read.
+
     ``texts`` has (query_id, query_text); each text is embedded once, by
     ``partitions`` embedders at a time if given. Scoring
     reads key and vector only; the columns of the matches are joined on
@@ -40,11 +46,17 @@ def search(
     condition on gold columns that limits what is searched. The search runs
     when this is called; its matches are stored.
     """
-    if where is not None:
-        index = index.join(gold.filter(where).select(key), key, "left_semi")
+    kept = isinstance(index, KeptCells)
+    if having and not kept:
+        raise ValueError("only an index kept by cell knows the values of attributes")
+    allowed = None if where is None else gold.filter(where).select(key)
     texts = texts if partitions is None else texts.repartition(partitions)
     queries = with_embedding(texts, make_embedder, "query_text")
-    matches = stored(best_matches(index, queries, k, key), "matches")
+    if kept:
+        found = search_cells(index, queries, k, having=having, only=allowed)
+    else:
+        found = best_matches(index if allowed is None else index.join(allowed, key, "left_semi"), queries, k, key)
+    matches = stored(found, "matches")
     return (
         matches.join(gold.select(key, *columns), key)
         .select("query_id", "rank", key, *columns, "score")

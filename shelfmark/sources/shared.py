@@ -25,11 +25,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: evaluated once, safe to reuse."""
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: evaluated once, safe to reuse.
+
+    With ``by`` the rows are laid out by that column, so a read of some of its values skips the rest.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(*df.columns) if by else back
 
 
 def discard(spark: SparkSession) -> None:

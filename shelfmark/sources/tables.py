@@ -64,6 +64,7 @@ def write_table(
     path: str | None = None,
     fmt: str = "parquet",
     keep: int = 2,
+    partition_by: str | None = None,
 ) -> DataFrame:
     """Write a new version of a table, point the view ``name`` at it and return it.
 
@@ -76,7 +77,8 @@ def write_table(
     ``bucket_by`` (number, column) lays the rows out so that later joins and
     groupings on that column need no shuffle. Give it a column with few rows
     per value, such as a key: each bucket is written by one task as one file.
-    With ``path`` each version has a folder of its own below it.
+    With ``path`` each version has a folder of its own below it. ``partition_by``
+    lays a version out by the values of a column.
     """
     spark = df.sparkSession
     if merge_schema:
@@ -89,6 +91,8 @@ def write_table(
     writer = df.write.format(fmt)
     if bucket_by is not None:
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
     if path is not None:
         writer = writer.option("path", f"{path.rstrip('/')}/{version.rpartition('.')[2]}")
     writer.saveAsTable(version)

@@ -227,6 +227,22 @@ def test_search_by_cell_skips_cells(spark, tmp_path, monkeypatch):
     assert "PartitionFilters: [cell" in plan(laid_out.filter(F.col("cell").isin(1, 2)))
 
 
+def test_a_failed_write_keeps_the_cells(spark, tmp_path):
+    df, _ = clustered(spark, 100)
+    pivots = cells.choose_pivots(df, 4)
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_cells", str(tmp_path / "c"))
+    try:
+        assert cells.write_cells(df, "laid_out", pivots).count() == 100
+        boom = df.withColumn("embedding", F.when(F.col("site_product_identifier") == "7", F.raise_error(F.lit("boom")).cast("array<float>")).otherwise(F.col("embedding")))
+        with pytest.raises(Exception, match="boom"):
+            cells.write_cells(boom, "laid_out", pivots)
+        assert spark.table("laid_out").count() == 100
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE test_cells CASCADE")
+
+
 def test_search_by_cell_with_a_condition(spark, tmp_path):
     df, vectors = clustered(spark, 600)
     laid_out, pivots, bounds = written_cells(spark, df, 20, tmp_path)
