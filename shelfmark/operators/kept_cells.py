@@ -10,12 +10,15 @@ row is in, so searches stay exact however cells were split.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources import pieces
 from ..sources.shared import stored
@@ -23,6 +26,7 @@ from .catalogue import KEY, deduplicate
 from .embedding import Embedder, with_embedding
 from .index import TEXT, indexable
 from .pruned import best_matches_in_cells, measured, nearest_cells, pivots_of, with_unit
+from .similarity import matrix_of, unit
 
 CELL_ROWS = 16_384
 # Rounds of two-means for a split.
@@ -227,19 +231,52 @@ def _split(rows: DataFrame, cells: DataFrame, key: str, limit: int) -> tuple[Dat
         rows = stored(rows.join(large, "cell", "left_anti").unionByName(cut), "cells-held")
 
 
-def _dot(a: Column, b: Column) -> Column:
-    pairs = F.arrays_zip(a.alias("x"), b.alias("y"))
-    return F.aggregate(pairs, F.lit(0.0), lambda total, pair: total + pair["x"] * pair["y"])
+def _chance(key: str) -> Column:
+    return F.pmod(F.xxhash64(key, "cell"), F.lit(2)).cast("int").alias("chance")
+
+
+def _nearer(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of a batch, and which of ``a`` and ``b`` is nearer: of equally near ones ``chance``."""
+    vectors = unit(matrix_of(batch["embedding"]))
+    difference = np.einsum("ij,ij->i", vectors, matrix_of(batch["b"]) - matrix_of(batch["a"]))
+    return vectors, np.where(np.abs(difference) < 1e-9, batch["chance"].to_numpy(), difference > 0).astype(np.int32)
 
 
 def _sided(rows: DataFrame, centres: DataFrame, key: str) -> DataFrame:
-    """Rows with ``side`` 0 or 1: the nearer centre of their cell, of equally near ones by the key's hash."""
-    vector = F.col("embedding").cast("array<double>")
-    # A vector with a number missing is near to neither.
-    near = F.coalesce(_dot(vector, F.col("b")) - _dot(vector, F.col("a")), F.lit(0.0))
-    chance = F.pmod(F.xxhash64(key, "cell"), F.lit(2)).cast("int")
-    side = F.when(F.abs(near) < 1e-9, chance).when(near > 0, 1).otherwise(0)
-    return rows.join(centres, "cell").withColumn("side", side).drop("a", "b")
+    """Rows with ``side`` 0 or 1, the nearer centre of their cell."""
+    schema = T.StructType([*rows.schema, T.StructField("side", T.IntegerType())])
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sides = pa.array(_nearer(batch)[1])
+                yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), sides], names=[*names, "side"])
+
+    return rows.join(centres, "cell").select(*(f"`{n}`" for n in names), "a", "b", _chance(key)).mapInArrow(run, schema)
+
+
+def _added(rows: DataFrame, key: str) -> DataFrame:
+    """(cell, side, total): of each batch the sum of the unit vectors nearer to either centre of a cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors, sides = _nearer(batch)
+                half = batch["cell"].to_numpy().astype(np.int64) * 2 + sides
+                halves, place = np.unique(half, return_inverse=True)
+                total = np.zeros((len(halves), vectors.shape[1]))
+                np.add.at(total, place, vectors)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((halves // 2).astype(np.int32)), pa.array((halves % 2).astype(np.int32)),
+                        pa.array(list(total), pa.list_(pa.float64())),
+                    ],
+                    names=["cell", "side", "total"],
+                )
+
+    slim = rows.select("cell", "embedding", "a", "b", _chance(key))
+    return slim.mapInArrow(run, "cell int, side int, total array<double>")
 
 
 def _two_means(rows: DataFrame, key: str) -> DataFrame:
@@ -252,8 +289,7 @@ def _two_means(rows: DataFrame, key: str) -> DataFrame:
     centres = ends.select("cell", F.col("a.embedding").alias("a"), F.col("b.embedding").alias("b"))
     centres = stored(with_unit(with_unit(centres, "a"), "b"), "centres")
     for _ in range(ROUNDS):
-        sided = with_unit(_sided(rows, centres, key).select("cell", "side", "embedding"), "embedding")
-        parts = sided.select("cell", "side", F.posexplode("embedding").alias("i", "x"))
+        parts = _added(rows.join(centres, "cell"), key).select("cell", "side", F.posexplode("total").alias("i", "x"))
         sums = parts.groupBy("cell", "side", "i").agg(F.sum("x").alias("x"))
         lists = sums.groupBy("cell", "side").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("l"))
         means = lists.select("cell", "side", F.transform("l", lambda e: e["x"]).alias("v"))

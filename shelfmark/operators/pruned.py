@@ -103,8 +103,10 @@ def with_unit(df: DataFrame, column: str) -> DataFrame:
     """A vector column as doubles of length 1, of length 0 where it has none."""
     x = F.col(column).cast("array<double>")
     length = F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, b: a + b * b))
-    good = (length > 0) & (length < float("inf"))
-    return df.withColumn(column, F.transform(x, lambda e: F.when(good, e / length).otherwise(0.0)))
+    usable_length = F.when((length > 0) & (length < float("inf")), length)
+    # In a list of one, the length is computed once for a row and not for each of its numbers.
+    scaled = F.transform(F.array(usable_length), lambda n: F.transform(x, lambda e: F.coalesce(e / n, F.lit(0.0))))
+    return df.withColumn(column, F.get(scaled, F.lit(0)))
 
 
 def measured(rows: DataFrame, cells: DataFrame, key: str, vector: str, *more: Column) -> DataFrame:
