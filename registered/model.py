@@ -107,6 +107,16 @@ def json_flag_rows(spark, folder):
     return ops.flag_rows(parsed_answers(spark, folder), TAGS, KEY)
 
 
+def json_flag_numbers(spark, folder):
+    """The set values of each product by their numbers, read back as values."""
+    parsed = stored(parsed_answers(spark, folder), "parsed")
+    some = parsed.where(F.col(KEY) < "2")
+    numbers = stored(ops.value_numbers(parsed, TAGS, ops.value_numbers(some, TAGS)), "values")
+    rows = ops.with_flag_numbers(parsed, numbers, TAGS, KEY)
+    named = rows.select(KEY, F.explode_outer("flag_numbers").alias("number")).join(numbers, "number", "left")
+    return named.groupBy(KEY).agg(F.array_join(F.sort_array(F.collect_list("value")), ",").alias("flags"))
+
+
 def limit_n(spark, folder):
     return ops.first_rows(answers(spark, folder), 20, [KEY])
 
@@ -128,6 +138,7 @@ QUERIES = {
     "json_distinct_values": json_distinct_values,
     "json_flags": json_flags,
     "json_flag_rows": json_flag_rows,
+    "json_flag_numbers": json_flag_numbers,
     "limit_n": limit_n,
     "event_props": event_props,
 }
@@ -232,6 +243,13 @@ ORACLES = {
         "WHERE \"Key\" IN ('Occasion', 'Age Range')",
         _steps,
     ),
+    "json_flag_numbers": with_steps(
+        "clean",
+        f"SELECT answers.{KEY}, coalesce(string_agg(DISTINCT \"Value\", ',' ORDER BY \"Value\"), '') AS flags "
+        f"FROM answers LEFT JOIN (SELECT * FROM entries WHERE \"Key\" IN ('Occasion', 'Age Range')) AS e "
+        f"ON answers.{KEY} = e.{KEY} GROUP BY answers.{KEY}",
+        _steps,
+    ),
     "json_flags": with_steps(
         "clean",
         f"SELECT answers.{KEY}, {', '.join(_flag_sql(*values) for values in _FLAGS)} FROM answers "

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.json_text import any_key_contains, with_repaired_json, with_tag_map
+from ..sources.shared import stored
 
 
 def with_parsed_tags(
@@ -45,6 +46,46 @@ def distinct_values(df: DataFrame, tags: str) -> DataFrame:
     return values.filter(F.col("Value").isNotNull()).distinct()
 
 
+def value_numbers(df: DataFrame, tags: str, known: DataFrame | None = None) -> DataFrame:
+    """(value, number): a number for every distinct value, the same as in ``known`` for those it has.
+
+    New values are numbered in their order after all known ones, without gaps: each task numbers a
+    range of them, after a count per task. No value passes the driver.
+    """
+    found = distinct_values(df, tags).select(F.col("Value").alias("value"))
+    if known is not None:
+        known = stored(known.select("value", "number"), "values-known")
+        found = found.join(known, "value", "left_anti")
+    ranged = found.repartitionByRange("value").withColumn("_task", F.spark_partition_id())
+    new = stored(ranged, "values-new")
+    sizes = new.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
+    # One row for each task.
+    first = sizes.select("_task", (F.sum("_size").over(Window.orderBy("_task")) - F.col("_size")).alias("_first"))
+    place = F.row_number().over(Window.partitionBy("_task").orderBy("value")) - 1
+    numbered = new.join(first, "_task").select("value", (F.col("_first") + place).alias("number"))
+    if known is None:
+        return numbered
+    highest = known.agg(F.max("number")).first()[0]
+    base = 0 if highest is None else highest + 1
+    return known.unionByName(numbered.withColumn("number", F.col("number") + base))
+
+
+def with_flag_numbers(
+    df: DataFrame, numbers: DataFrame, tags: str, key: str, keys: Sequence[str] = tuple(rules.FLAG_KEYS),
+    out: str = "flag_numbers",
+) -> DataFrame:
+    """(key, ``out``): the numbers of the values set in the lists of ``keys``, sorted, for every distinct key.
+
+    A row has as many entries as values, however many values there are in all. A key without a value
+    has an empty list.
+    """
+    lists = F.array(*(F.coalesce(F.col(tags).getItem(k), F.array()) for k in keys))
+    values = df.select(key, F.explode_outer(F.array_distinct(F.flatten(lists))).alias("value"))
+    found = values.join(numbers.select("value", "number"), "value", "left")
+    # Numbers are merged on the map side, and a null is no number.
+    return found.groupBy(key).agg(F.sort_array(F.collect_set("number")).alias(out))
+
+
 def collect_values(df: DataFrame, tags: str, most: int | None = None) -> list[str]:
     """The distinct values, sorted, for flag columns; refuses more than ``most``, if given.
 

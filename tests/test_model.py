@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import rules
 from shelfmark.functions.prompts import with_prompt
 from registered.stand_ins import rule_model
+from shelfmark.operators import tag_maps
 from shelfmark.operators.model import with_model_tags
 from shelfmark.plans.model_gold import tag_with_model
 from shelfmark.sources.tables import use_schema
@@ -172,3 +173,80 @@ def test_first_rows_are_asked_by_many_tasks_and_thousands_of_values_give_flags(s
     finally:
         spark.catalog.setCurrentDatabase(before)
         spark.sql("DROP DATABASE test_values CASCADE")
+
+
+def parsed(spark, rows):
+    return spark.createDataFrame(rows, "k string, tags map<string,array<string>>")
+
+
+def test_values_keep_their_numbers(spark):
+    first = parsed(spark, [("a", {"Occasion": ["x", "y"], "Theme": ["t", None]}), ("b", None), ("c", {"Age Range": ["x"]})])
+    before = tag_maps.value_numbers(first, "tags")
+    old = {r.value: r.number for r in before.collect()}
+    assert sorted(old) == ["t", "x", "y"] and sorted(old.values()) == [0, 1, 2]
+    then = parsed(spark, [("a", {"Occasion": ["x", "new"]}), ("a", {"Age Range": ["z", "x"]}), ("d", {"Theme": ["t"]}), ("e", None)])
+    numbers = tag_maps.value_numbers(then, "tags", before)
+    new = {r.value: r.number for r in numbers.collect()}
+    assert {v: new[v] for v in old} == old and sorted(new) == ["new", "t", "x", "y", "z"] and sorted(new.values()) == [0, 1, 2, 3, 4]
+    rows = {r.k: r.flag_numbers for r in tag_maps.with_flag_numbers(then, numbers, "tags", "k").collect()}
+    assert rows == {"a": sorted([new["x"], new["new"], new["z"]]), "d": [], "e": []}
+    assert tag_maps.value_numbers(parsed(spark, []), "tags", before).count() == 3
+
+
+def test_a_hundred_thousand_values(spark):
+    rows = spark.range(10_000).select(
+        F.col("id").cast("string").alias("k"),
+        F.create_map(F.lit("Occasion"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("v"), (F.col("id") * 10 + i).cast("string")))).alias("tags"),
+    )
+    numbers = tag_maps.value_numbers(rows, "tags")
+    span = numbers.agg(F.count("value"), F.min("number"), F.max("number"), F.count_distinct("number")).first()
+    assert tuple(span) == (100_000, 0, 99_999, 100_000)
+    assert tag_maps.with_flag_numbers(rows, numbers, "tags", "k").where("size(flag_numbers) = 10").count() == 10_000
+
+
+def test_a_round_writes_its_own_answers_only(spark, tmp_path):
+    from shelfmark.plans.model_gold import answers_kept, compact_answers
+
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_memory", str(tmp_path / "a"))
+    folder = tmp_path / "a" / "memory__rows"
+    try:
+        calls = spark.sparkContext.accumulator(0)
+
+        def make(settings):
+            def model(requests):
+                calls.add(len(requests))
+                return ["[]"] * len(requests)
+
+            return model
+
+        def ask(a, b):
+            source = products(spark, *[f"text {i}" for i in range(a, b)], None)
+            rows = answers_kept(spark, source, "memory", make, 2)
+            assert rows.where("tagged_description = '[]'").count() == b - a
+            return {f: f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+        first = ask(0, 40)
+        second = ask(20, 45)
+        assert calls.value == 45 and first.items() <= second.items() and len(second) > len(first)
+        assert ask(0, 45) == second
+        compact_answers(spark, "memory")
+        assert spark.table("memory").count() == 45 and ask(0, 45) and calls.value == 45
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE test_memory CASCADE")
+
+
+def test_too_many_columns_are_refused(spark, tmp_path):
+    before = spark.catalog.currentDatabase()
+    use_schema(spark, "test_most", str(tmp_path / "w"))
+    try:
+        products(spark, "christmas for kids", "space adults").write.saveAsTable("silver")
+        with pytest.raises(ValueError, match="more than 2"):
+            tag_with_model(spark, "silver", "answers", "gold", rule_model, most_columns=2)
+        gold = tag_with_model(spark, "silver", "answers", "gold", rule_model, values=[], most_columns=2)
+        assert not [c for c in gold.columns if c.startswith("flag_")]
+        assert spark.table("gold_values").count() >= 4 and spark.table("gold_flags").count() >= 3
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP DATABASE test_most CASCADE")
