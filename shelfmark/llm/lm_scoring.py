@@ -27,6 +27,10 @@ MARKS = [b" ", b""]  # no word is one of these
 BLOCK_BYTES, PART_BYTES, PART_ROWS = 12 << 20, 256 << 10, 4096
 # Grams are summed in buckets: so many at least, and one for so many words.
 BUCKETS, BUCKET_WORDS = 512, 2_000_000
+# Bits of hash that tell the grams of a bucket apart: it has some millions of them at most.
+KEY_BITS = 56
+# Words looked at in one step of the scoring, or one document.
+STEP_WORDS = 1 << 18
 
 
 def vocabulary(docs: DataFrame, size: int) -> list[str]:
@@ -118,7 +122,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def block_of(parts: pa.Table, buckets: int) -> Block:
-    """Number the grams of a block. A gram is known by its bucket and 64 further bits of its hash."""
+    """Number the grams of a block. A gram is known by its bucket and 56 further bits of its hash."""
     parts = parts.sort_by("part")
     lists = [x.as_py() for x in parts["sizes"]]
     sizes = np.array([n for x in lists for n in x], np.int64)
@@ -138,7 +142,7 @@ def block_of(parts: pa.Table, buckets: int) -> Block:
         mixed = own[a] * np.uint64(0x9E3779B97F4A7C15) + own[b] * np.uint64(0xD1342543DE82EF95)
         return np.concatenate([own, _mixed(mixed + np.uint64(0x632BE59BD9B4E019))])
 
-    keys, cell = hashed(hashes[:, 0]), (hashed(hashes[:, 1]) % np.uint64(buckets)).astype(np.int32)
+    keys, cell = hashed(hashes[:, 0]) >> np.uint64(64 - KEY_BITS), (hashed(hashes[:, 1]) % np.uint64(buckets)).astype(np.int32)
     return Block(
         pa.concat_arrays([x.flatten() for x in parts["doc_ids"].chunks]), places, sizes, before, codes, pair,
         np.stack([a, b]), cell, np.lexsort((keys, cell)), keys,
@@ -158,6 +162,15 @@ def _numbers(raw: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, by the place of their bytes."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)), 8)
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(raw, 8)).astype(np.uint64)
+
+
 def gram_counts(parts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
     """Grams of each block with their counts in all its texts and in target texts, by bucket."""
 
@@ -180,7 +193,7 @@ def gram_counts(parts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
         return pa.table({
             "block": pa.array([number] * len(spans), pa.int64()),
             "bucket": pa.array([int(cells[i]) for i, _ in spans], pa.int64()),
-            "keys": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()),
+            "keys": pa.array([_packed_keys(keys[i:j]) for i, j in spans], pa.binary()),
             **{k: pa.array([_planes(n[i:j], 4) for i, j in spans], pa.binary()) for k, n in counts.items()},
         })
 
@@ -193,7 +206,7 @@ def gram_totals(counts: DataFrame) -> DataFrame:
     """The counts of every gram over all blocks, for each block that has it and in the order of its grams."""
 
     def total(chunks: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), "<u8") for x in chunks["keys"]]
+        keys = [_unpacked_keys(x.as_py()) for x in chunks["keys"]]
         cut = np.cumsum([len(k) for k in keys])[:-1]
         grams, gram = np.unique(np.concatenate(keys), return_inverse=True)
         out = {}
@@ -208,7 +221,18 @@ def gram_totals(counts: DataFrame) -> DataFrame:
     )
 
 
-def losses(pair: np.ndarray, before: np.ndarray, own: np.ndarray, places: int, weight: float = WEIGHT) -> np.ndarray:
+def _times(document: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """How often each place's gram stands in the document of the place."""
+    order = np.lexsort((gram, document))
+    d, g = document[order], gram[order]
+    first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (g[1:] != g[:-1])])
+    length = np.diff(np.r_[first, len(g)])
+    out = np.empty(len(g), np.int64)
+    out[order] = np.repeat(length, length)
+    return out
+
+
+def losses(pair: np.ndarray, before: np.ndarray, own: np.ndarray, places: np.ndarray, weight: float = WEIGHT) -> np.ndarray:
     """-log2 of the probability of steps, both models being made alike.
 
     A word's own frequency, each count raised by one (``places`` is the sum of these), is mixed with
@@ -239,7 +263,9 @@ def score_documents(
     """``doc_id, n_words, target_loss, background_loss, score`` for every row.
 
     ``target`` lists the ids whose texts the target model learns from; the background model learns
-    from all texts. Both are word-pair models over one vocabulary: all words of all texts, or the
+    from all texts. Neither has learnt from the text that it scores: what a row has told a model is
+    taken out of the counts for it, so scores of targets and of other texts compare; a copy of a
+    text stays in. Both are word-pair models over one vocabulary: all words of all texts, or the
     ``size`` most frequent and one unknown word for the others. A loss is bits per word; the score is
     target less background, so texts like the target are below zero. Null, empty and word-less texts
     have no losses and a null score. Without target texts both scores are those of an even target
@@ -248,7 +274,8 @@ def score_documents(
     Words and pairs are counted in each block of documents, summed over all blocks in buckets of
     their hash, and the sums go back to the blocks that have them. No part of a model is on the
     driver or broadcast, unless ``size`` is given, whose words are; a gram has one entry per block,
-    however frequent it is. Grams are told apart by 64 bits of hash within a bucket of bounded size.
+    however frequent it is. Grams are told apart by 56 bits of hash within a bucket of bounded size. A text longer than a
+    block is a block of its own, and a task holds its words whole.
     """
     slim = texts(docs, doc_id, text)
     known = None if size is None else vocabulary(slim, size)
@@ -272,25 +299,51 @@ def score_documents(
         b = block_of(parts, buckets)
         words = len(b.keys) - b.pairs.shape[1]
         full = b.sizes > 0
-        starts = np.cumsum(b.sizes[full]) - b.sizes[full]
         totals = totals.sort_by("bucket")
+        buckets_ = totals["bucket"].to_pylist()
 
         def sums(name):
             out = np.zeros(len(b.keys), np.int64)
-            out[b.order] = np.concatenate([_numbers(x.as_py(), 8) for x in totals[name]])
+            chunks = [_numbers(x.as_py(), 8) for k, x in zip(buckets_, totals[name]) if k >= 0]
+            if chunks:
+                out[b.order] = np.concatenate(chunks)
             return out
 
-        out = []
-        for end, places in (("_target", n_target + raised), ("", n_words + raised)):
-            mean = np.zeros(len(b.sizes))
-            if full.any():
-                n, followed = sums("n" + end), sums("followed" + end)
-                first, second = b.pairs
-                loss = losses(n[words:], followed[first], n[second], places)
-                mean[full] = np.add.reduceat(loss[b.pair], starts) / b.sizes[full]
-            out.append(pa.array(mean, mask=~full))
+        targets = {
+            (-1 - bucket, int(place))
+            for bucket, n in zip(buckets_, totals["n"].to_pylist()) if bucket < 0
+            for place in n.split(b",")
+        }
+        is_target = np.array([tuple(p) in targets for p in b.places.tolist()], bool)
+        models = [("_target", n_target + raised, is_target), ("", n_words + raised, np.ones(len(b.sizes), bool))]
+        models = [(sums("n" + end), sums("followed" + end), places, learned) for end, places, learned in models]
+        means = np.zeros((len(models), len(b.sizes)))
+        ends = np.cumsum(b.sizes)
+        start = 0
+        while start < len(b.sizes):
+            # Some documents at a time: what a document has told the models is taken out again for it.
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - b.sizes[start] + STEP_WORDS, "right")))
+            size = b.sizes[start:stop]
+            place = slice(ends[start] - size[0], ends[stop - 1])
+            document = np.repeat(np.arange(stop - start), size)
+            grams = b.pair[place], b.before[place], b.after[place]
+            own = [_times(document, g) for g in grams]
+            for mean, (n, followed, places, learned) in zip(means, models):
+                out = learned[start:stop][document]
+                loss = losses(
+                    n[words + grams[0]] - own[0] * out, followed[grams[1]] - own[1] * out, n[grams[2]] - own[2] * out,
+                    places - size[document] * out,
+                )
+                mean[start:stop] = np.bincount(document, loss, stop - start) / np.maximum(size, 1)
+            start = stop
+        out = [pa.array(mean, mask=~full) for mean in means]
         return pa.table([b.doc_ids, pa.array(b.sizes), *out], names=["doc_id", "n_words", "target_loss", "background_loss"])
 
+    # Which documents are targets comes along as rows of negative buckets, one for each part.
+    lists = marks.groupBy("block", (-1 - F.col("part")).cast("long").alias("bucket")).agg(
+        F.array_join(F.collect_list(F.col("place").cast("string")), ",").cast("binary").alias("n")
+    )
+    totals = totals.unionByName(lists, allowMissingColumns=True)
     scored = parts.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         score, f"doc_id {kind.simpleString()}, n_words long, target_loss double, background_loss double"
     )

@@ -1,4 +1,6 @@
-import numpy as np
+from collections import Counter
+from math import log2
+
 import pytest
 from inputs import FOLDER, ODD, docs, sentence
 
@@ -6,34 +8,38 @@ from shelfmark.llm import lm_scoring
 from shelfmark.llm.decontaminate import words_of
 from shelfmark.llm.queries import QUERIES
 
+START = "<start>"  # no word has these marks
+
 
-def brute(rows, targets, size):
-    counts = {}
-    for _, t in rows:
-        for w in words_of((t or "").encode()):
-            counts[w] = counts.get(w, 0) + 1
-    ids = {w: i + 2 for i, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w))[:size])}
-    n = len(ids) + 2
-    seen = np.zeros((2, n, n))
-    coded = []
-    for i, t in rows:
-        code = [1, *(ids.get(w, 0) for w in words_of((t or "").encode()))]
-        coded.append(code)
-        for a, b in zip(code, code[1:]):
-            seen[0, a, b] += 1
-            seen[1, a, b] += i in targets
+def brute(rows, targets, size=None):
+    """Losses by dictionaries; the row that is scored is taken out of what the models have learnt."""
+    coded = [words_of((t or "").encode()) for _, t in rows]
+    counts = Counter(w for c in coded for w in c)
+    kept = set(sorted(counts, key=lambda w: (-counts[w], w))[:size])
+    coded = [[START, *(w if w in kept else None for w in c)] for c in coded]
+    models = []
+    for learned in ([i in targets for i, _ in rows], [True for _ in rows]):
+        pairs = Counter(p for c, use in zip(coded, learned) if use for p in zip(c, c[1:]))
+        before, own = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            before[a] += n
+            own[b] += n
+        models.append((pairs, before, own, learned))
     out = []
-    for (i, _), code in zip(rows, coded):
+    for place, ((i, _), c) in enumerate(zip(rows, coded)):
         loss = []
-        for c in seen:
-            own = c.sum(0) + 1
-            own[1] = 0
-            own /= own.sum()
-            steps = [
-                -np.log2(0.8 * c[a, b] / c[a].sum() + 0.2 * own[b] if c[a].sum() else own[b]) for a, b in zip(code, code[1:])
-            ]
-            loss.append(np.mean(steps) if steps else None)
-        out.append((str(i), len(code) - 1, loss[1], loss[0]))
+        steps = list(zip(c, c[1:]))
+        mine, heads, tails = Counter(steps), Counter(c[:-1]), Counter(c[1:])
+        for pairs, before, own, learned in models:
+            use = learned[place]
+            places = own.total() + len(kept) + 1 - use * len(steps)
+            bits = []
+            for a, b in steps:
+                even = (own[b] - use * tails[b] + 1) / places
+                seen = before[a] - use * heads[a]
+                bits.append(-log2(0.8 * (pairs[a, b] - use * mine[a, b]) / seen + 0.2 * even if seen else even))
+            loss.append(sum(bits) / len(bits) if bits else None)
+        out.append((str(i), len(steps), *loss))
     return out
 
 
@@ -66,3 +72,25 @@ def test_query(spark):
     frame = QUERIES["op2_cross_entropy"](spark, FOLDER)
     check(frame, brute(rows, good, lm_scoring.VOCABULARY))
     assert all(r.score is None or r.score == pytest.approx(r.target_loss - r.background_loss) for r in frame.collect())
+
+
+def test_targets_and_others_compare(spark):
+    """Texts of one kind score alike, whether the target model has learnt from them or not."""
+    kinds = {0: "ab", 1: "cd"}
+    rows = []
+    for i in range(400):
+        letters = kinds[i % 2]
+        rows.append((i, " ".join(f"{letters[(i * j * j + j) % 2]}{(i * 7 + j * j * 3) % 23}" for j in range(40))))
+    target = spark.createDataFrame([(i,) for i in range(0, 400, 4)], "doc_id long")
+    scores = {r.doc_id: r.score for r in lm_scoring.score_documents(docs(spark, rows), target, block_bytes=5000).collect()}
+    learnt = [scores[i] for i in range(0, 400, 4)]
+    held_out = [scores[i] for i in range(2, 400, 4)]
+    others = [scores[i] for i in range(1, 400, 2)]
+    assert max(learnt + held_out) < min(others)
+    assert abs(sum(learnt) / len(learnt) - sum(held_out) / len(held_out)) < 0.3
+
+
+def test_copies_stand_out(spark):
+    rows = [(i, sentence(i, 60)) for i in range(60)] + [(100, sentence(3, 60))]
+    loss = {r.doc_id: r.background_loss for r in lm_scoring.score_documents(docs(spark, rows), docs(spark, [])).collect()}
+    assert max(loss[3], loss[100]) < min(v for k, v in loss.items() if k not in (3, 100))

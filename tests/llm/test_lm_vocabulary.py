@@ -1,34 +1,8 @@
-from collections import Counter
-from math import log2
-
 import pytest
 from inputs import ODD, docs, sentence
+from test_lm_scoring import brute
 
 from shelfmark.llm import lm_scoring
-from shelfmark.llm.decontaminate import words_of
-
-
-def sparse(rows, targets):
-    """Losses by dictionaries, over all words."""
-    coded = [(i, [None, *words_of((t or "").encode())]) for i, t in rows]
-    words = {w for _, c in coded for w in c[1:]}
-    models = []
-    for learned in ([c for i, c in coded if i in targets], [c for _, c in coded]):
-        pairs = Counter(p for c in learned for p in zip(c, c[1:]))
-        before, own = Counter(), Counter()
-        for (a, b), n in pairs.items():
-            before[a] += n
-            own[b] += n
-        models.append((pairs, before, own, own.total() + len(words) + 1))
-    for i, c in coded:
-        out = []
-        for pairs, before, own, places in models:
-            even = lambda b: (own[b] + 1) / places
-            bits = [
-                -log2(0.8 * pairs[a, b] / before[a] + 0.2 * even(b) if before[a] else even(b)) for a, b in zip(c, c[1:])
-            ]
-            out.append(sum(bits) / len(bits) if bits else None)
-        yield repr(i), len(c) - 1, *out
 
 
 def scored(frame):
@@ -43,7 +17,7 @@ def test_words_beyond_the_most_frequent(spark, how):
     rows = [*ODD, *common, *rare, *((200 + i, sentence(i, 30)) for i in range(60))]
     target = spark.createDataFrame([(92,), (6,), (None,), (999,)], "doc_id long")
     got = scored(lm_scoring.score_documents(docs(spark, rows), target, **how))
-    wanted = sorted(sparse(rows, {92, 6}), key=repr)
+    wanted = sorted(((repr(i), *w[1:]) for (i, _), w in zip(rows, brute(rows, {92, 6}))), key=repr)
     assert [g[:2] for g in got] == [w[:2] for w in wanted]
     for g, w in zip(got, wanted):
         assert g[2:] == (None, None) if w[2] is None else g[2:] == pytest.approx(w[2:], rel=1e-9)
