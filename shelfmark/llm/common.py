@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -64,6 +65,14 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def free_memory() -> None:
+    """Give back what this Python worker holds unused, as left by earlier tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over the session's shuffle partitions."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

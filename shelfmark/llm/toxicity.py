@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, column, in_spread, raw_texts, texts
+from .common import bounded_batches, column, free_memory, in_spread, raw_texts, texts
 
 ORDERS = (4, 6, 8)
 DIMENSIONS = 1 << 19
@@ -154,23 +154,36 @@ def fit(
     )
 
     def extract(batches):
+        free_memory()
         features = Features(dimensions)
         for batch in batches:
             found = [features.of(t).tobytes() for t in raw_texts(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(found, pa.binary())], names=["toxic", "grams"])
 
     def learn(batches):
-        toxic, grams = [], []
+        free_memory()
+        toxic, sizes, grams = [], [], []
         for batch in batches:
             toxic += batch["toxic"].to_pylist()
-            grams += [np.frombuffer(g, np.int32) for g in batch["grams"].to_pylist()]
+            lists = batch["grams"].cast(pa.large_binary())
+            bounds = np.frombuffer(lists.buffers()[1], np.int64)[lists.offset : lists.offset + len(lists) + 1]
+            sizes.append(np.diff(bounds) // 4)
+            if bounds[-1] > bounds[0]:
+                # One copy of a batch's n-grams; its texts and rows are let go.
+                grams.append(np.frombuffer(lists.buffers()[2], np.int32)[bounds[0] // 4 : bounds[-1] // 4].copy())
         toxic = np.array(toxic, int) > 0
         if toxic.all() or not toxic.any():
             share = (toxic.sum() + 1) / (len(toxic) + 2)
             model = Model(np.zeros(dimensions, np.float32), float(np.log(share / (1 - share))))
         else:
-            offsets = np.r_[0, np.cumsum([len(g) for g in grams])]
-            indices = np.concatenate(grams)
+            offsets = np.r_[0, np.cumsum(np.concatenate(sizes))]
+            indices = np.empty(offsets[-1], np.int32)
+            end = len(indices)
+            while grams:
+                part = grams.pop()
+                indices[end - len(part) : end] = part
+                end -= len(part)
+            free_memory()
             ratios = log_count_ratios(offsets, indices, toxic, dimensions)
             model = fit_logistic(offsets, indices, toxic, ratios)
         yield pa.RecordBatch.from_arrays(
@@ -193,6 +206,7 @@ def toxicity(df: DataFrame, text: str, model: Model) -> Column:
         weights, bias = sent.value
         features = Features(len(weights))
         margin = np.array([bias + weights[features.of(t)].sum(dtype=float) for t in raw_texts(batch)], float)
+        del features
         return pa.array(np.exp(-np.logaddexp(0, -margin)))
 
     return score(column(text).cast("string"))
