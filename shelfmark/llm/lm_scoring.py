@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..sources.shared import stored
-from .common import column, raw_texts, texts
+from .common import column, free_memory, raw_texts, texts
 from .decontaminate import words_of
 
 # Words of the shared vocabulary; all others are one unknown word. None: every word of the texts.
@@ -30,7 +30,7 @@ BUCKETS, BUCKET_WORDS = 512, 2_000_000
 # Bits of hash that tell the grams of a bucket apart: it has some millions of them at most.
 KEY_BITS = 56
 # Words looked at in one step of the scoring, or one document.
-STEP_WORDS = 1 << 18
+STEP_WORDS = 1 << 17
 
 
 def vocabulary(docs: DataFrame, size: int) -> list[str]:
@@ -128,14 +128,15 @@ def block_of(parts: pa.Table, buckets: int) -> Block:
     sizes = np.array([n for x in lists for n in x], np.int64)
     numbers = parts["part"].to_pylist()
     places = np.array([(p, i) for p, x in zip(numbers, lists) for i in range(len(x))], np.int64).reshape(-1, 2)
-    codes = np.concatenate([_numbers(x.as_py(), 4) for x in parts["codes"]])
+    codes = np.concatenate([_numbers(x.as_py(), 4).astype(np.int32) for x in parts["codes"]])
     words = [*MARKS, *(w for x in parts["words"] for w in x.as_py().split())]
     hashes = np.frombuffer(b"".join(blake2b(w, digest_size=16).digest() for w in words), "<u8").reshape(-1, 2)
 
     full = sizes[sizes > 0]
-    before = np.r_[START, codes[:-1]][: len(codes)]
+    before = np.r_[np.int32(START), codes[:-1]][: len(codes)]
     before[np.cumsum(full) - full] = START
-    pairs, pair = np.unique(before << 32 | codes, return_inverse=True)
+    pairs, pair = np.unique(before.astype(np.int64) << 32 | codes, return_inverse=True)
+    pair = pair.astype(np.int32)
     a, b = pairs >> 32, pairs & 0xFFFFFFFF
 
     def hashed(own: np.ndarray) -> np.ndarray:
@@ -175,6 +176,7 @@ def gram_counts(parts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
     """Grams of each block with their counts in all its texts and in target texts, by bucket."""
 
     def count(parts: pa.Table, marks: pa.Table) -> pa.Table:
+        free_memory()
         b = block_of(parts, buckets)
         wanted = {*zip(marks["part"].to_pylist(), marks["place"].to_pylist())}
         target = np.repeat(np.array([tuple(p) in wanted for p in b.places.tolist()], bool), b.sizes)
@@ -206,6 +208,7 @@ def gram_totals(counts: DataFrame) -> DataFrame:
     """The counts of every gram over all blocks, for each block that has it and in the order of its grams."""
 
     def total(chunks: pa.Table) -> pa.Table:
+        free_memory()
         keys = [_unpacked_keys(x.as_py()) for x in chunks["keys"]]
         cut = np.cumsum([len(k) for k in keys])[:-1]
         grams, gram = np.unique(np.concatenate(keys), return_inverse=True)
@@ -221,6 +224,11 @@ def gram_totals(counts: DataFrame) -> DataFrame:
     )
 
 
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in half the room where they fit."""
+    return n.astype(np.int32) if not len(n) or n.max() < 1 << 31 else n
+
+
 def _times(document: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """How often each place's gram stands in the document of the place."""
     order = np.lexsort((gram, document))
@@ -296,9 +304,11 @@ def score_documents(
     kind = slim.schema["doc_id"].dataType
 
     def score(parts: pa.Table, totals: pa.Table) -> pa.Table:
+        free_memory()
         b = block_of(parts, buckets)
         words = len(b.keys) - b.pairs.shape[1]
         full = b.sizes > 0
+        del parts
         totals = totals.sort_by("bucket")
         buckets_ = totals["bucket"].to_pylist()
 
@@ -307,7 +317,7 @@ def score_documents(
             chunks = [_numbers(x.as_py(), 8) for k, x in zip(buckets_, totals[name]) if k >= 0]
             if chunks:
                 out[b.order] = np.concatenate(chunks)
-            return out
+            return _narrow(out)
 
         targets = {
             (-1 - bucket, int(place))
@@ -316,7 +326,10 @@ def score_documents(
         }
         is_target = np.array([tuple(p) in targets for p in b.places.tolist()], bool)
         models = [("_target", n_target + raised, is_target), ("", n_words + raised, np.ones(len(b.sizes), bool))]
-        models = [(sums("n" + end), sums("followed" + end), places, learned) for end, places, learned in models]
+        models = [(sums("n" + end), sums("followed" + end)[:words], places, learned) for end, places, learned in models]
+        # What named the grams has done its work.
+        b = b._replace(pairs=None, buckets=None, order=None, keys=None)
+        del totals
         means = np.zeros((len(models), len(b.sizes)))
         ends = np.cumsum(b.sizes)
         start = 0
