@@ -1,4 +1,9 @@
-"""Nearest neighbours by a robust-pruned directed graph in each shard, searched with a beam."""
+"""Nearest neighbours by robust-pruned directed graphs in each shard, searched with a beam.
+
+Inner products become distances by one more coordinate, which works well for vectors of about one
+length. So a shard has a graph for each band of lengths. A query searches the bands from the longest
+down and stops where the product of the lengths cannot reach its k-th score any more.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +23,10 @@ BUILD_BEAM = 64
 SEARCH_BEAM = 160
 ALPHA = 1.2  # a neighbour is dropped if a kept one is this many times nearer to it
 SHARD_ROWS = 16_384
+BAND = 1.1  # the longest vector of a graph is at most this many times as long as the shortest
+BAND_ROWS = 128  # but a graph has as many points at least; fewer than the beam, which meets them all
 QUERY_BLOCK = 1_024
+BLOCKS_PER_GRAPH = 16  # query blocks that one copy of a graph serves
 STEP = 512  # points that look for neighbours at once
 
 
@@ -29,22 +37,25 @@ def augmented(vectors: np.ndarray) -> np.ndarray:
     return np.concatenate([vectors, more[:, None]], 1)
 
 
-def beam_search(points: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, beam: int):
+def beam_search(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int):
     """The ``beam`` nearest points each greedy search meets, nearest first, and their distances.
 
-    All queries take a step at a time: each opens the nearest unopened point of its beam. -1 fills
-    the beams of small graphs. Distances are squared, less the square of the query.
+    A search begins at the entries nearest to the query, as many as its beam holds. All queries take
+    a step at a time: each opens the nearest unopened point of its beam. -1 fills the beams of small
+    graphs. Distances are squared, less the square of the query.
     """
     n, degree = len(queries), edges.shape[1]
     square = np.einsum("ij,ij->i", points, points)
     rows = np.arange(n)
     seen = np.zeros((n, len(points)), bool)
-    seen[:, start] = True
+    seen[:, entries] = True
     ids = np.full((n, beam), -1, np.int32)
     far = np.full((n, beam), np.inf, np.float32)
     opened = np.zeros((n, beam), bool)
-    ids[:, 0] = start
-    far[:, 0] = square[start] - 2 * (queries @ points[start])
+    first = square[entries] - 2 * (queries @ points[entries].T)
+    near = np.argsort(first, 1, kind="stable")[:, :beam]
+    ids[:, : near.shape[1]] = entries[near]
+    far[:, : near.shape[1]] = first[rows[:, None], near]
     active = rows
     while len(active):
         waiting = np.where(opened[active] | (ids[active] < 0), np.inf, far[active])
@@ -56,7 +67,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, start: int, queries: np.n
         opened[active, place] = True
         new = edges[ids[active, place]]
         fresh = (new >= 0) & ~seen[active[:, None], new]
-        seen[active[:, None], np.where(fresh, new, start)] = True
+        seen[active[:, None], np.where(fresh, new, entries[0])] = True
         d = square[new] - 2 * np.einsum("ij,ikj->ik", queries[active], points[new])
         all_far = np.concatenate([far[active], np.where(fresh, d, np.inf)], 1)
         all_ids = np.concatenate([ids[active], np.where(fresh, new, -1)], 1)
@@ -98,27 +109,62 @@ def pruned(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
 
 
 def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA):
-    """Edges and entry point. Two rounds: first with plain, then with relaxed distance pruning.
+    """Edges and entries. Two rounds: first with plain, then with relaxed distance pruning.
 
     Points propose neighbours by a greedy search on the graph so far, a block of them at a time;
-    what points to them is added in return and pruned where it is too much.
+    what points to them is added in return and pruned where it is too much. Entries are the middle
+    point, some points at random, and one for each part that no other entry leads to: every point
+    can be reached.
     """
     n = len(points)
     rng = np.random.default_rng(n)
-    start = int(((points - points.mean(0)) ** 2).sum(1).argmin())
+    middle = int(((points - points.mean(0)) ** 2).sum(1).argmin())
     edges = np.full((n, degree), -1, np.int32)
     if n <= 1:
-        return edges, start
+        return edges, np.array([middle])
+    entries = np.unique(np.r_[middle, rng.permutation(n)[: int(4 * n**0.5)]])
     some = min(degree, n - 1)
     edges[:, :some] = (np.arange(n)[:, None] + 1 + rng.integers(0, n - 1, (n, some))) % n
     for relaxed in (1.0, alpha):
         order = rng.permutation(n)
         for i in range(0, n, STEP):
             own = order[i : i + STEP]
-            found, _ = beam_search(points, edges, start, points[own], beam)
+            found, _ = beam_search(points, edges, entries, points[own], beam)
             edges[own] = pruned(points, own, np.concatenate([found, edges[own]], 1), degree, relaxed)
             _point_back(points, edges, own, degree, relaxed)
-    return edges, start
+    return edges, with_unreached(edges, entries)
+
+
+def with_unreached(edges: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """The entries and, while there are points that none of them leads to, the first of these."""
+    reached = np.zeros(len(edges), bool)
+    more: list[int] = []
+    new = entries
+    while len(new):
+        reached[new] = True
+        new = np.unique(edges[new])
+        new = new[new >= 0]
+        new = new[~reached[new]]
+        if not len(new) and not reached.all():
+            more.append(int(reached.argmin()))
+            new = np.array(more[-1:])
+    return np.r_[entries, np.array(more, entries.dtype)]
+
+
+def bands(vectors: np.ndarray, ratio: float = BAND, least: int = BAND_ROWS) -> list[np.ndarray]:
+    """Rows of the vectors by falling length, cut where a length falls below that of the band's first.
+
+    A band with fewer than ``least`` rows goes on beyond that.
+    """
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    order = np.argsort(-norms, kind="stable")
+    falling = norms[order]
+    out, a = [], 0
+    while a < len(order):
+        b = max(int(np.searchsorted(-falling, -falling[a] / ratio, "right")), a + least)
+        out.append(order[a:b])
+        a = b
+    return out
 
 
 def _point_back(points: np.ndarray, edges: np.ndarray, own: np.ndarray, degree: int, alpha: float) -> None:
@@ -173,13 +219,18 @@ def build_index(
         graphs = []
         for size in sorted({len(v) for _, v in rows}):  # vectors of one length are compared only
             own = [(i, v) for i, v in rows if len(v) == size]
-            exact = np.array([v for _, v in own], float)
-            x = augmented(exact).astype(np.float32)
-            graphs.append((size, [i for i, _ in own], exact, x, *build_graph(x)))
+            every = np.array([v for _, v in own], float)
+            for band in bands(every):
+                exact = every[band]
+                # Scaled by the longest, as float32 cannot hold the squares of all doubles.
+                x = augmented(exact / np.abs(exact).max()).astype(np.float32)
+                graphs.append((size, [own[i][0] for i in band.tolist()], exact, x, *build_graph(x)))
         out = pickle.dumps(graphs)
         return pa.table({"shard": group["shard"][:1], "graph": pa.array([out], pa.binary())})
 
-    return stored(keyed.groupBy("shard").applyInArrow(build, "shard int, graph binary"), "graph-index")
+    # A number of partitions of its own: otherwise few large graphs would be built by one task.
+    apart = keyed.repartition(4 * shards, "shard")
+    return stored(apart.groupBy("shard").applyInArrow(build, "shard int, graph binary"), "graph-index")
 
 
 def search_index(
@@ -188,58 +239,95 @@ def search_index(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest each query finds over all shards.
 
-    Queries go through every shard in blocks; each task holds one graph and one block. Nearness is
-    the inner product of the original vectors in double precision, ties go to the smaller id, and
-    a query's own id is no neighbour. Unusable queries have no rows; of several vectors of one query
-    id the smallest is searched.
+    Queries go through every shard in blocks; a task holds the graphs of one shard, and the blocks
+    pass by. Nearness is the inner product of the original vectors in double precision, ties go to
+    the smaller id, and a query's own id is no neighbour. All points of a graph can be reached, so a
+    query gets k neighbours, or all there are if fewer. Unusable queries have no rows; of several
+    vectors of one query id the smallest is searched. Vectors of another length in numbers are no
+    neighbours.
     """
     usable = _usable(queries, vec_id, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
+    usable = stored(usable, "graph-queries")
+    kind = dict(usable.dtypes)["vec_id"]
     blocks = max(1, -(-usable.count() // block))
+    copies = -(-blocks // BLOCKS_PER_GRAPH)
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
     packed = (
         usable.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
         .groupBy("block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
     )
-    shards = index.select("shard").distinct().agg(F.sort_array(F.collect_list("shard")).alias("shards"))
-    every = [r.shards for r in shards.collect()][0]
-    pairs = packed.withColumn("shard", F.explode(F.array(*map(F.lit, every)) if every else F.array().cast("array<int>")))
-    joined = pairs.join(index, "shard")
+    # The graphs of a shard, one copy for some blocks, come before these blocks.
+    none = F.lit(None)
+    graphs = index.select(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(0).alias("turn"), "graph",
+        none.cast(packed.schema["queries"].dataType).alias("queries"),
+    )
+    every_block = packed.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+        F.pmod("block", F.lit(copies)).cast("int").alias("copy"), F.lit(1).alias("turn"),
+        none.cast("binary").alias("graph"), "queries",
+    )
+    laid_out = (
+        graphs.union(every_block).repartition(4 * copies * shards, "shard", "copy")
+        .sortWithinPartitions("shard", "copy", "turn")
+    )
+    beam = max(beam, k + 1)
 
     def search(batches):
+        here, held = None, []
         for batch in batches:
-            for group, raw in zip(batch["queries"], batch["graph"]):
-                out = [[], [], []]
+            types = (batch.schema.field("queries").type.value_type.field(0).type,) * 2 + (pa.float64(),)
+            for shard, group, raw in zip(batch["shard"].to_pylist(), batch["queries"], batch["graph"]):
+                if raw.is_valid:
+                    here, held = shard, pickle.loads(raw.as_py())
+                if raw.is_valid or shard != here:  # a graph, or a block for a shard without points
+                    continue
+                out: tuple[list, list, list] = ([], [], [])
                 rows = group.as_py()
-                for size, ids, exact, points, edges, start in pickle.loads(raw.as_py()):
+                for size in {g[0] for g in held}:
                     own = [(r["vec_id"], r["v"]) for r in rows if len(r["v"]) == size]
+                    graphs = [g[1:] for g in held if g[0] == size]
                     for i in range(0, len(own), STEP):
-                        _nearest(own[i : i + STEP], ids, exact, points, edges, start, k, beam, out)
+                        _nearest(own[i : i + STEP], graphs, k, beam, out)
                 if out[0]:
-                    kinds = (batch.schema.field("queries").type.value_type.field(0).type,) * 2
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c, t) for c, t in zip(out, (*kinds, pa.float64())))],
-                        names=["query_id", "vec_id", "score"],
+                        [pa.array(c, t) for c, t in zip(out, types)], names=["query_id", "vec_id", "score"]
                     )
 
-    kind = dict(usable.dtypes)["vec_id"]
-    found = joined.select("queries", "graph").mapInArrow(search, f"query_id {kind}, vec_id {kind}, score double")
+    found = laid_out.select("shard", "queries", "graph").mapInArrow(search, f"query_id {kind}, vec_id {kind}, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     distinct = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return distinct.select("query_id", "rank", "vec_id", "score")
 
 
-def _nearest(queries, ids, exact, points, edges, start, k, beam, out) -> None:
+def _nearest(queries, graphs, k, beam, out) -> None:
+    """Add the k best of all graphs to ``out``. Graphs come by falling length of their vectors."""
     q = np.array([v for _, v in queries], float)
-    wide = np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32)
-    found, _ = beam_search(points, edges, start, wide, beam)
-    for (query, _), vector, near in zip(queries, q, found):
-        near = near[near >= 0]
-        scores = (exact[near] * vector).sum(1)
-        best: list[tuple] = []
-        for i in np.argsort(-scores, kind="stable"):
-            if len(best) >= k and scores[i] < best[k - 1][0]:
-                break
-            best += [(scores[i], m) for m in ids[near[i]] if m != query]
-        best.sort(key=lambda b: (-b[0], b[1]))
-        for score, m in best[:k]:
+    lengths = np.sqrt(np.einsum("ij,ij->i", q, q))
+    scaled = q / np.abs(q).max(1)[:, None]  # the order of the products stays; float32 holds them
+    wide = np.concatenate([scaled, np.zeros((len(q), 1))], 1).astype(np.float32)
+    best: list[list[tuple]] = [[] for _ in queries]
+    least = np.full(len(q), -np.inf)  # each query's k-th score
+    for ids, exact, points, edges, entries in graphs:
+        longest = float(np.sqrt((exact**2).sum(1).max()))
+        # A little more than the lengths' product, for its rounding.
+        some = np.flatnonzero(~(lengths * longest * (1 + 1e-9) < least))
+        if not len(some):
+            break
+        found, _ = beam_search(points, edges, entries, wide[some], beam)
+        for i, near in zip(some.tolist(), found):
+            near = near[near >= 0]
+            scores = (exact[near] * q[i]).sum(1)
+            own, query = best[i], queries[i][0]
+            new: list[tuple] = []
+            for j in np.argsort(-scores, kind="stable"):
+                if scores[j] < least[i] or (len(new) >= k and scores[j] < new[k - 1][0]):
+                    break
+                new += [(scores[j], m) for m in ids[near[j]] if m != query]
+            best[i] = own = sorted(own + new, key=lambda b: (-b[0], b[1]))[:k]
+            if len(own) == k:
+                least[i] = own[-1][0]
+    for (query, _), own in zip(queries, best):
+        for score, m in own:
             for column, value in zip(out, (query, m, float(score))):
                 column.append(value)
