@@ -88,9 +88,13 @@ def segments_of(text: bytes, length: int = LENGTH, gram: int = GRAM):
 
 
 def symbol_ranks(text: np.ndarray, symbol: int) -> np.ndarray:
-    """Dense rank, in byte order, of the ``symbol`` bytes (a power of two) from every place."""
-    rank = text.astype(np.int64)
-    size = 1
+    """The alphabet: dense rank, in byte order, of the ``symbol`` bytes (a power of two) from every place."""
+    size = min(symbol, 8)
+    words = np.lib.stride_tricks.sliding_window_view(text, size)
+    rank = np.zeros(len(words), np.uint64)
+    for i in range(size):
+        rank = (rank << np.uint64(8)) | words[:, i]
+    rank = np.unique(rank, return_inverse=True)[1]
     while size < symbol:
         pair = (rank[:-size] << 32) | rank[size:]
         rank = np.unique(pair, return_inverse=True)[1]
@@ -98,34 +102,34 @@ def symbol_ranks(text: np.ndarray, symbol: int) -> np.ndarray:
     return rank
 
 
-def shard_order(ranks: np.ndarray, left: np.ndarray, symbol: int, first: int) -> np.ndarray:
-    """Suffixes of a shard, as places, sorted by their symbols; only ties are looked at again."""
-    places = np.arange(len(left))
-
-    def at(where, depth):
-        inside = left[where] >= (depth + 1) * symbol
-        return np.where(inside, ranks[np.where(inside, first + where + depth * symbol, 0)], -1)
+def shard_order(ranks: np.ndarray, left: np.ndarray, symbol: int) -> np.ndarray:
+    """Suffixes of a shard, as places, sorted by their symbols; equal ones stay in order of place.
 
-    key = at(places, 0)
-    order = np.argsort(key, kind="stable")
-    group = np.cumsum(np.r_[True, key[order][1:] != key[order][:-1]])
-    depth = 0
-    tied = np.arange(len(order))
+    ``left`` has the bytes from each place to its segment's end. Ties are sorted again by twice as
+    many bytes each time, as the ranks of what follows are known.
+    """
+    rank = np.where(left >= symbol, ranks + 1, 0)
+    order = _stable(rank)
+    head = np.r_[True, rank[order][1:] != rank[order][:-1]]
+    row = np.arange(len(order))
+    group = np.maximum.accumulate(np.where(head, row, 0))
+    rank[order] = group
+    tied, depth = row, symbol
     while True:
-        # Members of groups of two or more whose last symbol was not past the end.
+        # Members of groups of two or more that have not ended.
         same = np.r_[False, group[tied][1:] == group[tied][:-1]]
-        more = (same | np.r_[same[1:], False]) & (left[order[tied]] >= (depth + 1) * symbol)
-        tied = tied[more]
+        tied = tied[(same | np.r_[same[1:], False]) & (left[order[tied]] >= depth)]
         if not len(tied):
             return order
-        depth += 1
-        key = at(order[tied], depth)
-        by = np.lexsort((key, group[tied]))
-        order[tied] = order[tied][by]
-        key, old = key[by], group[tied][by]
-        new = np.r_[True, (old[1:] != old[:-1]) | (key[1:] != key[:-1])]
-        # Groups keep their numbers apart: the place in the order is larger than any before.
-        group[tied] = tied[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))] + len(order)
+        places, own = order[tied], group[tied]
+        key = own * (len(order) + 1) + rank[places + depth]
+        by = _stable(key)
+        order[tied] = places = places[by]
+        key = key[by]
+        new = np.r_[True, key[1:] != key[:-1]]
+        group[tied] = tied[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))]
+        rank[places] = group[tied]
+        depth *= 2
 
 
 def repeated_windows(
@@ -141,24 +145,27 @@ def repeated_windows(
     own = np.repeat(np.arange(len(sizes)), sizes + 1)
     left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(own))
     ranks = symbol_ranks(text, symbol)
-    # Shards: neighbouring segments. Of each: suffix order, transform, and the step to the left.
+    # Shards: neighbouring segments. Of each: suffix order, transform, and the step to the left, which
+    # is read off the transform alone: rows before which one symbol stands keep their order when it is
+    # put in front, as suffixes are sorted. So the n rows with a symbol before lead to the last n rows.
     shard = (starts // shard_bytes)[own]
     cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(own)]
     suffix, before, step = [], [], []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        order = shard_order(ranks, left[a:b], symbol, a)
-        row = np.empty_like(order)
-        row[order] = np.arange(len(order))
-        place = order + a
+        place = shard_order(ranks[a:b], left[a:b], symbol) + a
         has = place - starts[own[place]] >= symbol
-        earlier = np.where(has, place - symbol, a)
-        before.append(np.where(has, ranks[earlier], -1))
-        step.append(np.where(has, row[earlier - a] + a, -1))
+        c = np.where(has, ranks[np.maximum(place - symbol, 0)], -1)
+        rows = np.flatnonzero(has)
+        to = np.full(len(place), -1)
+        to[rows[_stable(c[rows])]] = np.arange(b - len(rows), b)
+        before.append(c)
+        step.append(to)
         suffix.append(place)
-    suffix, before, step = map(np.concatenate, (suffix, before, step))
-    weight = np.array(weights)[own]
+    suffix = np.concatenate(suffix)
+    before, step = (np.concatenate(x).astype(np.int32) for x in (before, step))
+    weight = np.array(weights, float)[own[suffix]]
     # The interleave begins as the shards one after the other, all in one interval.
-    rows, interval = np.arange(len(suffix)), np.zeros(len(suffix), np.int64)
+    rows, interval = np.arange(len(suffix), dtype=np.int32), np.zeros(len(suffix), np.int32)
     for _ in range(length // symbol):
         c = before[rows]
         keep = c >= 0
@@ -167,9 +174,9 @@ def repeated_windows(
         rows, interval, c = rows[by], interval[by], c[by]
         new = np.r_[True, (c[1:] != c[:-1]) | (interval[1:] != interval[:-1])] if len(c) else np.zeros(0, bool)
         rows = step[rows]
-        interval = np.cumsum(new) - 1
+        interval = np.cumsum(new, dtype=np.int32) - 1
         # An interval with one occurrence stays one however far it is extended: it is settled.
-        often = np.bincount(interval, weight[suffix[rows]], minlength=1) >= 2
+        often = np.bincount(interval, weight[rows], minlength=1) >= 2
         keep = often[interval]
         rows, interval = rows[keep], interval[keep]
     found = np.zeros(len(text), bool)
@@ -178,10 +185,11 @@ def repeated_windows(
 
 
 def _stable(x: np.ndarray) -> np.ndarray:
-    """Stable order of numbers below 2**32, by two passes over 16 bits."""
-    by = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
-    high = (x >> 16).astype(np.uint16)
-    return by[np.argsort(high[by], kind="stable")] if high.any() else by
+    """Stable order of small numbers: sorted with their places in the lowest bits."""
+    bits = len(x).bit_length()
+    if not len(x) or int(x.max()).bit_length() + bits > 63:
+        return np.argsort(x, kind="stable")
+    return np.sort((x.astype(np.int64) << bits) | np.arange(len(x))) & ((1 << bits) - 1)
 
 
 # --- Over all texts --------------------------------------------------------------------------

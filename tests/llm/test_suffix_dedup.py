@@ -103,3 +103,29 @@ def test_stage_keeps_whole_characters(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
     assert got[3] == (None, None) and got[4] == ("short", 5) and got[5] == ("", 0)
     assert got[1] == ("x", 1) and got[2] == (" end", 4)
+
+
+def test_shard_order_sorts_by_symbols():
+    rng = np.random.default_rng(4)
+    text = np.r_[rng.integers(97, 99, 300), np.tile(rng.integers(97, 99, 20), 20), np.zeros(4, int)].astype(np.uint8)
+    n = 700
+    ranks = suffix_dedup.symbol_ranks(text, 4)[: n + 1]
+    left = n - np.arange(n + 1)
+    body = text.tobytes()
+    wanted = sorted(range(n + 1), key=lambda p: ([body[q : q + 4] for q in range(p, n - 3, 4)], p))
+    assert suffix_dedup.shard_order(ranks, left, 4).tolist() == wanted
+
+
+def test_merge_needs_the_order(monkeypatch):
+    """The step to the left is read off the transform, so suffixes in another order give other windows."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(97, 101, 60).astype(np.uint8).tobytes()
+    segments = [base, base[5:50], base[:30] + b"x" + base[31:], rng.integers(97, 101, 60).astype(np.uint8).tobytes()]
+    right = suffix_dedup.repeated_windows(segments, [1] * 4, 16, 4, 64)
+    every = [s[i : i + 16] for s in segments for i in range(len(s) - 15)]
+    assert [r.tolist() for r in right] == [
+        [every.count(s[i : i + 16]) > 1 for i in range(len(s) - 15)] for s in segments
+    ]
+    monkeypatch.setattr(suffix_dedup, "shard_order", lambda ranks, left, symbol: np.arange(len(left)))
+    wrong = suffix_dedup.repeated_windows(segments, [1] * 4, 16, 4, 64)
+    assert [r.tolist() for r in wrong] != [r.tolist() for r in right]
