@@ -11,6 +11,7 @@ from uuid import uuid4
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import with_text
+from shelfmark.operators.changes import change_set, composed
 from shelfmark.operators.cells import (
     best_matches_by_cell, cell_bounds, choose_pivots, write_cells,
 )
@@ -75,6 +76,21 @@ def index_diff(spark, folder):
     return index_changes(new_source(spark, folder), index).select(KEY, "change")
 
 
+def _spring_source(spark, folder):
+    """A version in between: some kinds are gone, others have a headline of their own."""
+    raw = raw_catalogue(spark, folder).filter("category_name NOT LIKE '%BRASS'")
+    rows = deduplicate(product_columns(raw, ["p_partkey"]), KEY, ["p_partkey"])
+    headline = F.when(F.col("category_name").like("PROMO%"), "Spring").otherwise("New")
+    return with_text(rows.withColumn("headline_text", headline))
+
+
+def changes_composed(spark, folder):
+    """The changes over three versions, put together from those between neighbours."""
+    versions = [old_source(spark, folder), _spring_source(spark, folder), new_source(spark, folder)]
+    sets = [stored(change_set(a, b), "change-set") for a, b in zip(versions, versions[1:])]
+    return composed(sets).select(KEY, "change")
+
+
 def index_refresh(spark, folder):
     """The old index brought up to date equals an index of the new source."""
     index = stored(embedded(old_source(spark, folder), _embedder), "index")
@@ -228,6 +244,7 @@ def search_kept_filtered(spark, folder):
 QUERIES = {
     "embed_text": embed_text,
     "index_diff": index_diff,
+    "changes_composed": changes_composed,
     "index_refresh": index_refresh,
     "index_sync": index_sync,
     "index_parts": index_parts,
@@ -423,3 +440,5 @@ WHERE o.text IS DISTINCT FROM n.text""",
 ORACLES["index_parts"] = ORACLES["index_sync"]
 ORACLES["search_kept_cells"] = ORACLES["search_text"]
 ORACLES["search_kept_filtered"] = ORACLES["search_text_filtered"]
+# The changes from the first version to the last, found directly.
+ORACLES["changes_composed"] = ORACLES["index_diff"]

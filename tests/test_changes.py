@@ -1,0 +1,74 @@
+import random
+
+import pytest
+from conftest import plan
+
+from shelfmark.operators import changes as ch
+from shelfmark.operators.index import fingerprints
+
+SCHEMA = "k string, t string, change string"
+
+
+def version(spark, rows):
+    return spark.createDataFrame([(k, t, "x") for k, t in rows], SCHEMA).select("k", "t")
+
+
+def rows_of(frame):
+    rows = [tuple(r) for r in frame.collect()]
+    assert len(rows) == len({r[0] for r in rows})
+    return sorted(rows)
+
+
+def steps(versions):
+    return [ch.change_set(a, b, "k", "t") for a, b in zip(versions, versions[1:])]
+
+
+def test_rules(spark):
+    versions = [
+        version(spark, [("same", "a"), ("back", "a"), ("twice", "a"), ("gone", "a"), ("again", "a"), ("nulled", "a")]),
+        version(spark, [("same", "a"), ("back", "b"), ("twice", "b"), ("gone", "b"), ("short", "a"), ("nulled", None)]),
+        version(spark, [("same", "a"), ("back", "a"), ("twice", "c"), ("again", "z"), ("new", "a"), (None, "a")]),
+    ]
+    got = {r[0]: r[1] for r in rows_of(ch.composed(steps(versions), "k"))}
+    assert got == {"twice": "update", "gone": "delete", "again": "update", "new": "insert", "nulled": "delete"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_composed_is_the_direct_diff(spark, seed):
+    rng = random.Random(seed)
+    versions = [
+        version(spark, [(f"k{rng.randrange(40)}", rng.choice(["a", "b", "c", None, ""])) for _ in range(60)])
+        for _ in range(4)
+    ]
+    sets = steps(versions)
+    direct = rows_of(ch.change_set(versions[0], versions[-1], "k", "t"))
+    assert rows_of(ch.composed(sets, "k")) == direct
+    nested = ch.composed([sets[0], ch.composed(sets[1:], "k")], "k")
+    assert rows_of(nested) == direct  # in whatever order they are put together
+    assert rows_of(ch.misfits(sets, "k")) == []
+    state = ch.applied(fingerprints(versions[0], "k", "t"), ch.composed(sets, "k"), "k")
+    assert rows_of(state) == rows_of(fingerprints(versions[-1], "k", "t"))
+
+
+def test_a_missing_version_is_noticed(spark):
+    a, b, c, d = (version(spark, [("x", t), ("y", "same")]) for t in "abcd")
+    sets = [ch.change_set(a, b, "k", "t"), ch.change_set(c, d, "k", "t")]
+    assert rows_of(ch.misfits(sets, "k")) == [("x",)]
+
+
+def test_nothing(spark):
+    none = version(spark, [])
+    one = ch.change_set(none, none, "k", "t")
+    assert rows_of(ch.composed([one, one], "k")) == [] and rows_of(ch.misfits([one], "k")) == []
+    with pytest.raises(ValueError):
+        ch.composed([])
+
+
+def test_sets_are_merged_before_the_shuffle(spark, tmp_path):
+    sets = steps([version(spark, [("a", x)]) for x in "xyz"])
+    paths = []
+    for i, s in enumerate(sets):
+        paths.append(str(tmp_path / str(i)))
+        s.write.parquet(paths[-1])
+    text = plan(ch.composed([spark.read.parquet(p) for p in paths], "k"))
+    assert text.count("Exchange hash") == 1 and "Join" not in text
