@@ -37,6 +37,15 @@ def product_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return df.select(*PRODUCT_COLUMNS, *extra)
 
 
+def survivor_order(columns: Sequence[str], key: str = KEY) -> list[Column]:
+    """Order by which one row per key stays: a hash of the other columns, then these themselves.
+
+    The hash decides nearly always; the columns are compared where two rows share it.
+    """
+    others = [c for c in columns if c != key]
+    return [F.xxhash64(*others), *(F.col(c).asc_nulls_last() for c in others)] if others else []
+
+
 def deduplicate(
     df: DataFrame, key: str = KEY, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
@@ -48,9 +57,7 @@ def deduplicate(
     share of the rows sends a few rows only.
     """
     if order is None:
-        # The hash decides nearly always; the columns are compared where two rows share it.
-        others = [c for c in df.columns if c != key]
-        order = [F.xxhash64(*others), *(F.col(c).asc_nulls_last() for c in others)] if others else []
+        order = survivor_order(df.columns, key)
     first = Window.partitionBy(key).orderBy(*(order or [F.lit(1)]))
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 

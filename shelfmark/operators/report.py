@@ -26,10 +26,19 @@ def tag_coverage(df: DataFrame, tags: Sequence[str]) -> DataFrame:
     All counts come from one aggregate over one scan; only its single row is
     turned into one row per column, so the input is never multiplied.
     """
-    counts = df.agg(
+    return coverage_rows(df.agg(*coverage_counts(tags)), tags)
+
+
+def coverage_counts(tags: Sequence[str]) -> list[Column]:
+    """Aggregates that count tagged and untagged rows of each tag column; they add up over parts."""
+    return [
         *(F.count_if(F.col(tag) != "").alias(f"{tag}_tagged") for tag in tags),
         *(F.count_if(F.col(tag) == "").alias(f"{tag}_untagged") for tag in tags),
-    )
+    ]
+
+
+def coverage_rows(counts: DataFrame, tags: Sequence[str]) -> DataFrame:
+    """The one row of counts as a row per tag column."""
     rows = F.array(
         *(
             F.struct(
