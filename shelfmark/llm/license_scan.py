@@ -11,56 +11,15 @@ from pyspark.sql import DataFrame
 
 from .common import raw_texts, texts
 from .decontaminate import joined, words_of
+from .license_texts import TEMPLATES
 
 # The phrases that always count, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Texts of public licences, label -> passages.
-TEMPLATES = {
-    "mit": [
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-        "subject to the following conditions",
-        "Released under the MIT License.",
-    ],
-    "apache": [
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at",
-        "Licensed under the Apache License, Version 2.0.",
-        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
-        "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    ],
-    "gpl": [
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-        "or (at your option) any later version.",
-        "This work is licensed under the GNU General Public License, version 3.",
-    ],
-    "bsd": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-        "following disclaimer.",
-    ],
-    "isc": [
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    ],
-    "mpl": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    ],
-    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "cc-by-nc": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "unlicense": ["This is free and unencumbered software released into the public domain."],
-}
 LEAST_MATCH = 4  # words of a match that may enter a chain
 GAP = 8  # words that two matches of a chain may lie apart
 COVERAGE = 0.6  # share of a passage that a chain must cover for its label
+SHORT = 20  # a passage of fewer words counts only where all of it stands, word after word
 
 
 class Automaton(NamedTuple):
@@ -72,6 +31,8 @@ class Automaton(NamedTuple):
     length: list  # longest string of the state
     ends: list  # state -> [(passage, place of its last word)]
     phrases: list  # state -> [(phrase, length)] that are suffixes of its longest string
+    whole: list  # the same of short passages
+    least: int  # words of the shortest phrase or passage
     sizes: list  # words of each passage
     labels: list  # label of each passage
     phrase_labels: list
@@ -127,24 +88,34 @@ def build(templates: dict[str, list[str]], phrases: dict[str, str]) -> Automaton
         ends[state] += own_ends.get(state, [])
         if link[state] > 0:
             ends[link[state]] += ends[state]
-    here: list[list] = [[] for _ in nxt]
-    for i, (_, body) in enumerate(listed):
-        state = 0
-        for word in body:
-            state = nxt[state][words[word]]
-        here[state].append((i, len(body)))
-    for state in sorted(range(1, len(nxt)), key=length.__getitem__):
-        here[state] += here[link[state]]
+    by_length = sorted(range(1, len(nxt)), key=length.__getitem__)
+
+    def suffixes(bodies: list) -> list[list]:
+        here: list[list] = [[] for _ in nxt]
+        for i, (_, body) in bodies:
+            state = 0
+            for word in body:
+                state = nxt[state][words[word]]
+            here[state].append((i, len(body)))
+        for state in by_length:
+            here[state] += here[link[state]]
+        return here
+
     n = len(passages)
+    short = [(i, p) for i, p in enumerate(passages) if 0 < len(p[1]) < SHORT]
     return Automaton(
-        words, nxt, link, length, [[e for e in sorted(set(x)) if e[0] < n] for x in ends], here,
+        words, nxt, link, length, [[e for e in sorted(set(x)) if e[0] < n] for x in ends],
+        suffixes([(i, p) for i, p in enumerate(listed) if p[1]]), suffixes(short),
+        min((len(b) for _, b in [*passages, *listed] if b), default=1),
         [len(b) for _, b in passages], [label for label, _ in passages], [label for label, _ in listed],
     )
 
 
-def matches(words: list[bytes], a: Automaton):
+def matches(words: list[bytes], a: Automaton, whole: list | None = None):
     """Base places ``(start, phrase)`` and the right-maximal matches ``(end, length, state)`` of a text.
 
+    Places ``(start, end, passage)`` of short passages are added to ``whole``.
+
     The longest match that ends at each word is followed through the automaton. A word that no
     passage has breaks every match, so only runs of known words are walked.
     """
@@ -152,7 +123,7 @@ def matches(words: list[bytes], a: Automaton):
     inside = np.flatnonzero(np.diff(np.r_[False, known >= 0, False]))
     base, found = [], []
     for first, beyond in zip(inside[::2].tolist(), inside[1::2].tolist()):
-        if beyond - first < 2:
+        if beyond - first < a.least:
             continue
         state = long = 0
         for i, c in enumerate(known[first:beyond].tolist(), first):
@@ -167,6 +138,8 @@ def matches(words: list[bytes], a: Automaton):
             for phrase, size in a.phrases[state]:
                 if size <= long:
                     base.append((i + 1 - size, phrase))
+            if whole is not None:
+                whole += [(i + 1 - size, i + 1, passage) for passage, size in a.whole[state] if size <= long]
         if long >= LEAST_MATCH:
             found.append((beyond, long, state))
     return base, found
@@ -195,21 +168,39 @@ def chains(found: list, a: Automaton) -> dict[int, tuple[int, int, int]]:
                     if c2 + e - s - skip > covered:
                         covered, start = c2 + e - s - skip, start2
             done.append((s, e, ps, pe, covered, start))
-        top = max(done, key=lambda d: (d[4], -d[5]))
+        top = max(done, key=lambda d: (d[4], d[5] - d[1], -d[5]))  # most words, then the closest, then the first
         best[passage] = (top[4], top[5], top[1])
     return best
 
 
+def labelled(found: list, whole: list, a: Automaton) -> tuple[list, float]:
+    """Spans ``(label, first, beyond)`` of passages, and the largest share of a passage that stands.
+
+    A short passage counts where it stands whole: families of licences differ by single words. A long
+    one counts if a chain covers enough of it, unless a passage of another label covers more words of
+    the same place, as the notices of one family nearly cover each other.
+    """
+    long, share = [], 0.0
+    for passage, (covered, first, beyond) in sorted(chains(found, a).items()):
+        size = a.sizes[passage]
+        part = covered / (size if size >= SHORT else max(size, beyond - first))
+        share = max(share, min(1.0, part))
+        if size >= SHORT and part >= COVERAGE:
+            long.append((a.labels[passage], first, beyond, covered))
+    kept = [
+        (label, first, beyond) for label, first, beyond, covered in long
+        if not any(o[0] != label and o[1] <= first and beyond <= o[2] and o[3] > covered for o in long)
+    ]
+    return kept + [(a.labels[p], first, beyond) for first, beyond, p in whole], 1.0 if whole else share
+
+
 def scan(text: bytes | None, a: Automaton) -> dict:
     """What one text has: base places, labelled spans and the best coverage."""
     words = words_of(text)
-    base, found = matches(words, a) if words else ([], [])
-    spans, score = [], 1.0 if base else 0.0
-    for passage, (covered, first, beyond) in sorted(chains(found, a).items()):
-        share = min(1.0, covered / a.sizes[passage])
-        score = max(score, share)
-        if share >= COVERAGE:
-            spans.append((a.labels[passage], first, beyond))
+    whole: list = []
+    base, found = matches(words, a, whole) if words else ([], [])
+    spans, share = labelled(found, whole, a)
+    score = 1.0 if base else share
     starts = [s for s, _ in base]
     base_labels = {a.phrase_labels[p] for _, p in base}
     return {
@@ -233,9 +224,11 @@ def scan_licenses(
 
     Returns ``doc_id, n_words, n_base`` (places of a phrase), ``first_word, last_word`` (their
     smallest and largest start, else null), ``base_labels, labels`` (sorted lists; the second also
-    has those of passages), ``spans`` (label and words [a, b) of a chain that covers enough of a
-    passage) and ``score``: 1 if a phrase stands in the text, else the largest share of a passage
-    that one chain covers. Null and empty texts have no words and score 0. One scan, no shuffle:
+    has those of passages), ``spans`` (label and words [a, b) of a passage of under SHORT
+    words that stands whole, or of a chain that covers enough of a longer one) and ``score``: 1 if a
+    phrase or a whole short passage stands in the text, else the largest share of a passage that one
+    chain covers. Where chains of several labels lie in the same words, the one that covers most of
+    them counts; equal ones all do. Null and empty texts have no words and score 0. One scan, no shuffle:
     texts are streamed, and the automaton is as large as the given licences.
     """
     sent = docs.sparkSession.sparkContext.broadcast(tuple(build(templates, phrases)))
