@@ -137,9 +137,7 @@ def word_pattern(words: list[str], bounded: bool = False, fold_case: bool = True
     """
     if fold_case:
         words = [word.lower() for word in words]
-    width = min(3, *(len(word) for word in words))
-    letters = ("".join(sorted({word[i] for word in words})) for i in range(width))
-    ahead = "".join(f"[{_escaped(some, CLASS_SIGNS)}]" for some in letters)
+    ahead = _ahead(words)
     plain = [_escaped(word, SIGNS) for word in words]
     if not bounded:
         return f"(?={ahead})({'|'.join(plain)})"
@@ -154,6 +152,54 @@ def word_pattern(words: list[str], bounded: bool = False, fold_case: bool = True
     return f"(?={ahead})({'|'.join(edged)})"
 
 
+def one_pass(rules: dict[str, list[str]], bounded: bool = False) -> tuple[str, dict[str, dict[str, str]]] | None:
+    """One pattern for the words of all tags, and per tag what a word found means to it.
+
+    At each position the pattern takes the longest word in its group and moves on by one character,
+    so words may overlap. Any other word that matches there is a beginning of that one; which of
+    them is a tag's own first choice is known beforehand. None where that does not hold: for empty
+    words, and with ``bounded`` for words that begin or end with a sign or are not ASCII.
+    """
+    words = sorted({word for some in rules.values() for word in some})
+    plain = (word.isascii() and re.fullmatch(r"\w(.*\w)?", word) for word in words)
+    if not words or not all(words) or bounded and not all(plain):
+        return None
+    meant: dict[str, dict[str, str]] = {tag: {} for tag in rules}
+    for tag, some in rules.items():
+        for word in words:
+            first = next((w for w in some if _begins(word, w, bounded)), None)
+            if first is not None:
+                meant[tag][word] = first
+    edge = r"\b" if bounded else ""
+    return rf"(?={_ahead(words)}){edge}(?=({_longest_of(words)}){edge})", meant
+
+
+def _begins(word: str, start: str, bounded: bool) -> bool:
+    """Whether ``start`` matches where ``word`` does."""
+    if not word.startswith(start) or word == start:
+        return word == start
+    return not bounded or not re.match(r"\w", word[len(start)])
+
+
+def _longest_of(words: list[str]) -> str:
+    """A pattern for the longest of some words: what they share at the beginning is tried once."""
+    tails: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            tails.setdefault(word[0], []).append(word[1:])
+    branches = "|".join(_escaped(first, SIGNS) + _longest_of(rest) for first, rest in tails.items())
+    if not tails or len(tails) == 1 and "" not in words:
+        return branches
+    return f"(?:{branches})" + ("?" if "" in words else "")
+
+
+def _ahead(words: list[str]) -> str:
+    """Classes of the letters that can come first, second and third."""
+    width = min([3, *(len(word) for word in words)])
+    letters = ("".join(sorted({word[i] for word in words})) for i in range(width))
+    return "".join(f"[{_escaped(some, CLASS_SIGNS)}]" for some in letters)
+
+
 SIGNS = r"\^$.|?*+()[]{}"
 CLASS_SIGNS = r"\^-[]&"
 
