@@ -49,17 +49,16 @@ def _packed(rows: DataFrame) -> DataFrame:
 def met(rows: DataFrame, cells: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``work(ids, matrix, cell ids, cell matrix)`` for each two blocks of rows and of cells.
 
-    Both have (id, array of doubles). Blocks of rows stay in place or go by slot; those of the cells
-    are sent to each slot, at most one for every core of the session.
+    Both have (id, array of doubles). The join has no key: blocks of cells are there once, however
+    many tasks or shuffle partitions there are. Few of them Spark broadcasts, else it pairs the
+    partitions of both sides.
     """
-    spark = rows.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The first block of a task has its number added, or all first blocks would share a slot.
     turn = F.monotonically_increasing_id() + F.spark_partition_id()
-    left = _packed(rows).withColumn("slot", F.pmod(turn, F.lit(slots)).cast("int"))
+    left = _packed(rows).withColumn("slot", F.pmod(turn, F.lit(slots)).cast("int")).repartition("slot")
     # One batch of cells from one task makes few blocks; their number is that of the cells by ROWS.
     right = stored(_packed(cells), "cell-blocks").select(F.col("ids").alias("cell_ids"), F.col("data").alias("cell_data"))
-    spread = right.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,7 +69,7 @@ def met(rows: DataFrame, cells: DataFrame, work: Callable, schema: str) -> DataF
                 for start in range(0, len(matrix), step):
                     yield from work(ids.slice(start, step), matrix[start : start + step], cell_ids, cell_matrix)
 
-    pairs = left.join(spread, "slot").select("ids", "data", "cell_ids", "cell_data")
+    pairs = left.select("ids", "data").crossJoin(right)
     return pairs.mapInArrow(run, schema)
 
 

@@ -344,3 +344,11 @@ def test_bad_and_empty_input(spark):
     )
     rows = pruned.best_matches_of_many(odd, query_table(spark, [[2.0, 0.0]]), 9, cell_rows=2).orderBy("rank").collect()
     assert [(r[2], r.score) for r in rows] == [("a", 1.0), ("b", 0.0), ("d", 0.0), ("e", -1.0)]
+
+
+def test_cells_are_there_once_however_many_partitions(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "id int, v array<double>")
+    cells = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "cell int, pivot array<double>")
+    near = pruned.nearest_cells(rows, cells)
+    assert "Generate" not in plan(near)
+    assert {r.id: r.cell for r in near.collect()} == {i: int(i == 0) for i in range(50)}
