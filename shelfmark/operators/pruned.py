@@ -21,13 +21,17 @@ import pyarrow as pa
 from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.shared import stored
 from .catalogue import KEY
-from .similarity import QUERIES, ROWS, SCORES, corpus_blocks, matrix_of, query_vectors, ranked, scored, unit, usable
+from .similarity import QUERIES, ROWS, SCORES, best_of, cosines, matrix_of, query_vectors, ranked, unit, usable
 
 SLACK = 1e-7
 CELL_ROWS = 4096
+# Queries of a bundle and corpus rows of a lot, between which pairs are dealt out.
+BUNDLE = 4096
+LOT = 32_768
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -185,16 +189,112 @@ def _within(groups: DataFrame, cells: DataFrame) -> DataFrame:
     return met(left, right, work, "group string, cell int")
 
 
+def _bundled(groups: DataFrame) -> tuple[DataFrame, int]:
+    """(bundle, members) of about BUNDLE queries each, and how many bundles there are."""
+    total = groups.agg(F.sum(F.size("queries"))).first()[0] or 0
+    number = max(1, -(-total // BUNDLE))
+    bundle = F.pmod(F.xxhash64("group"), F.lit(number)).alias("bundle")
+    packed = groups.groupBy(bundle).agg(F.collect_list(F.struct("group", "queries")).alias("members"))
+    return stored(packed, "query-bundles"), number
+
+
+def _laid(rows: DataFrame, key: str, vector: str, lots: int) -> DataFrame:
+    """(lot, cells, keys, vectors): up to ROWS rows of a lot, which has every so many-th cell, by cell."""
+    kind = rows.schema[key].dataType.simpleString()
+    lot = F.pmod("cell", F.lit(lots)).cast("int").alias("lot")
+    known = rows.select(lot, "cell", key, vector).hint("rebalance", "lot").sortWithinPartitions("lot", "cell")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch.column(0).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(given)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                for start in range(a, b, ROWS):
+                    part = batch.slice(start, min(ROWS, b - start))
+                    one = pa.array([0, part.num_rows], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(given[start : start + 1]), *(pa.ListArray.from_arrays(one, c) for c in part.columns[1:])],
+                        names=["lot", "cells", "keys", "vectors"],
+                    )
+
+    return known.mapInArrow(pack, f"lot int, cells array<int>, keys array<{kind}>, vectors array<array<float>>")
+
+
+def _met_scores(schema: T.StructType, k: int, counter: Accumulator | None):
+    """The k best of each query among those rows of a block whose cells its group is to meet."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+
+    def found(keys: list, vectors: np.ndarray, names: list, asked: np.ndarray) -> pa.RecordBatch:
+        out: list[list] = [[], [], []]
+        step = max(1, SCORES // max(1, len(keys)))
+        for start in range(0, len(names), step):
+            for name, row in zip(names[start:], cosines(unit(asked[start : start + step]), vectors)):
+                chosen = best_of(row, keys, k)
+                out[0] += [name] * len(chosen)
+                out[1] += [keys[i] for i in chosen]
+                out[2] += [float(row[i]) for i in chosen]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, type=field.type) for c, field in zip(out, arrow)], schema=arrow
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells, keys, vectors, asked in zip(*batch.columns):
+                own, keys, vectors = cells.values.to_numpy(), keys.as_py(), matrix_of(vectors.values)
+                wanted, queries = asked.values.field("cells"), asked.values.field("queries")
+                for i in range(len(wanted)):
+                    at = np.flatnonzero(np.isin(own, wanted[i].values.to_numpy()))
+                    if not len(at):
+                        continue
+                    members = queries[i].values
+                    names = members.field(0).to_pylist()
+                    if counter is not None:
+                        counter.add(len(at) * len(names))
+                    every = len(at) == len(own)
+                    yield found(
+                        keys if every else [keys[j] for j in at], vectors if every else vectors[at],
+                        names, matrix_of(members.field(1), vectors.shape[1]),
+                    )
+
+    return run
+
+
 def _searched(
-    rows: DataFrame, pairs: DataFrame, groups: DataFrame, key: str, vector: str, query_key: str, k: int,
-    where: Column | None, counter: Accumulator | None,
+    rows: DataFrame, pairs: DataFrame, bundles: DataFrame, number: int, total: int, key: str, vector: str,
+    query_key: str, k: int, where: Column | None, counter: Accumulator | None,
 ) -> DataFrame:
-    """The k best rows of each query in the cells its group is paired with; no other cell is read."""
-    blocks = pairs.join(groups.select("group", "queries"), "group").select(F.col("cell").alias("slot"), "queries")
+    """The k best rows of each query in the cells its group is paired with; no other cell is read.
+
+    Cells go together in lots of about LOT rows, groups in ``number`` bundles of about BUNDLE queries.
+    A group's queries are sent once for each lot with a cell it meets, so what is shuffled grows with
+    queries times lots, not with queries times cells. Where lots are fewer than shuffle partitions,
+    their rows are sent to several parts of the bundles.
+    """
+    lots = max(1, -(-total // LOT))
+    parts = min(number, -(-int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // lots))
+    part = F.pmod("bundle", F.lit(parts)).cast("int").alias("part")
+    meets = pairs.groupBy("group", F.pmod("cell", F.lit(lots)).cast("int").alias("lot")).agg(
+        F.collect_list("cell").alias("cells")
+    )
+    meets = meets.groupBy(F.pmod(F.xxhash64("group"), F.lit(number)).alias("bundle"), "lot").agg(
+        F.map_from_entries(F.collect_list(F.struct("group", "cells"))).alias("meets")
+    )
+    members = F.filter("members", lambda m: F.map_contains_key("meets", m["group"]))
+    asked = F.transform(members, lambda m: F.struct(F.col("meets")[m["group"]].alias("cells"), m["queries"].alias("queries")))
+    blocks = meets.join(bundles, "bundle").select("lot", part, asked.alias("asked"))
     wanted = pairs.where("cell >= 0").select("cell").distinct()
     held = rows.join(wanted, "cell", "left_semi")
-    held = usable(held if where is None else held.where(where), key, vector, "cell")
-    return ranked(scored(corpus_blocks(held), blocks, key, query_key, k, counter), k)
+    laid = _laid(usable(held if where is None else held.where(where), key, vector, "cell"), key, vector, lots)
+    copies = laid.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    schema = T.StructType([
+        T.StructField(query_key, bundles.schema["members"].dataType.elementType["queries"].dataType.elementType[0].dataType),
+        T.StructField(key, laid.schema["keys"].dataType.elementType), T.StructField("score", T.DoubleType()),
+    ])
+    # Spark takes the copies for no larger than one and would broadcast them; a merge needs no side in memory.
+    both = blocks.join(copies.hint("merge"), ["lot", "part"]).select("cells", "keys", "vectors", "asked")
+    return ranked(both.mapInArrow(_met_scores(schema, k, counter), schema), k)
 
 
 def best_matches_in_cells(
@@ -224,15 +324,20 @@ def best_matches_in_cells(
     cells = stored(cells.select(F.col("cell").cast("int"), "pivot", "rows", "least_near"), "cells")
     groups, member = grouped(first, cells)
     around = stored(_around(groups, cells, k), "pairs")
-    found = stored(_searched(rows, around, groups, key, vector, query_key, k, where, counter), "matches")
+    bundles, number = _bundled(groups)
+    total = cells.agg(F.sum("rows")).first()[0] or 0
+
+    def searched(pairs: DataFrame) -> DataFrame:
+        return _searched(rows, pairs, bundles, number, total, key, vector, query_key, k, where, counter)
+
+    found = stored(searched(around), "matches")
     last = found.where(F.col("rank") == k).select(query_key, F.col("score").alias("_last"))
     worst = member.join(last, query_key, "left").groupBy("group").agg(
         F.min(F.coalesce("_last", F.lit(float("-inf")))).alias("worst")
     )
     more = _within(groups.select("group", "home", "least_near").join(worst, "group"), cells)
     rest = stored(more.join(around, ["group", "cell"], "left_anti"), "pairs")
-    also = _searched(rows, rest, groups, key, vector, query_key, k, where, counter)
-    best = ranked(found.unionByName(also).drop("rank"), k)
+    best = ranked(found.unionByName(searched(rest)).drop("rank"), k)
     same = asked.join(first.select(F.col(query_key).alias("_first"), "_vector"), "_vector").select(query_key, "_first")
     return same.join(best.withColumnRenamed(query_key, "_first"), "_first").select(query_key, "rank", key, "score")
 

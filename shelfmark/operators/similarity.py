@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -163,28 +163,32 @@ def matrix_of(vectors: pa.ListArray, dim: int | None = None) -> np.ndarray:
     return flat.reshape(len(vectors), dim).astype(np.float64)
 
 
+def cosines(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Rounded scores of unit vectors against others; 0 where a length is no number above 0."""
+    with np.errstate(invalid="ignore"):
+        length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+        products = units @ vectors.T
+    good = np.isfinite(length) & (length > 0)
+    ratio = np.divide(products, length, out=np.zeros_like(products), where=good)
+    return np.round(ratio, DIGITS) + 0.0
+
+
+def best_of(scores: np.ndarray, keys: Sequence, k: int) -> Sequence[int]:
+    """Places of the k best scores, of equal ones those of the smallest keys."""
+    if len(scores) <= k:
+        return range(len(scores))
+    edge = np.partition(scores, len(scores) - k)[len(scores) - k]
+    above = np.flatnonzero(scores > edge).tolist()
+    level = np.flatnonzero(scores == edge).tolist()
+    return above + heapq.nsmallest(k - len(above), level, key=keys.__getitem__)
+
+
 def _scorer(schema: T.StructType, k: int, counter: Accumulator | None = None):
     """Score pairs of blocks with one matrix product per piece, keep the k best per query."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
-    def cosines(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        with np.errstate(invalid="ignore"):
-            length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-            products = units @ vectors.T
-        good = np.isfinite(length) & (length > 0)
-        ratio = np.divide(products, length, out=np.zeros_like(products), where=good)
-        return np.round(ratio, DIGITS) + 0.0
-
-    def best(scores: np.ndarray, keys: list) -> list[int]:
-        if len(scores) <= k:
-            return range(len(scores))
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        above = np.flatnonzero(scores > edge).tolist()
-        level = np.flatnonzero(scores == edge).tolist()
-        return above + heapq.nsmallest(k - len(above), level, key=keys.__getitem__)
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, vectors, queries in zip(*(batch.column(i) for i in range(3))):
@@ -196,7 +200,7 @@ def _scorer(schema: T.StructType, k: int, counter: Accumulator | None = None):
                     counter.add(len(keys) * len(names))
                 for start in range(0, len(names), step):
                     for name, row in zip(names[start:], cosines(unit(asked[start : start + step]), vectors)):
-                        chosen = best(row, keys)
+                        chosen = best_of(row, keys, k)
                         out[0] += [name] * len(chosen)
                         out[1] += [keys[i] for i in chosen]
                         out[2] += [float(row[i]) for i in chosen]

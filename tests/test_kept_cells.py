@@ -352,3 +352,34 @@ def test_cells_are_there_once_however_many_partitions(spark):
     near = pruned.nearest_cells(rows, cells)
     assert "Generate" not in plan(near)
     assert {r.id: r.cell for r in near.collect()} == {i: int(i == 0) for i in range(50)}
+
+
+def test_queries_are_sent_once_for_a_lot_of_cells(spark, monkeypatch):
+    sent = spark.sparkContext.accumulator(0)
+    inner = pruned._met_scores
+
+    def counted(*how):
+        run = inner(*how)
+
+        def each(batches):
+            for batch in batches:
+                for asked in batch["asked"]:
+                    sent.add(sum(len(q) for q in asked.values.field("queries")))
+                yield from run([batch])
+
+        return each
+
+    vectors = np.random.default_rng(5).normal(size=(400, 8))
+    vectors[:150] = vectors[0]
+    got = best_matches(frame_of(spark, vectors), query_table(spark, vectors), 3)
+    monkeypatch.setattr(pruned, "_met_scores", counted)
+    monkeypatch.setattr(pruned, "QUERIES", 10)
+    monkeypatch.setattr(pruned, "BUNDLE", 30)
+    monkeypatch.setattr(pruned, "ROWS", 64)
+    for lot in (150, 10_000):
+        monkeypatch.setattr(pruned, "LOT", lot)
+        sent.value = 0
+        many = pruned.best_matches_of_many(frame_of(spark, vectors), query_table(spark, vectors), 3, cell_rows=5)
+        assert triples(many) == triples(got)
+        # 251 different queries and some 20 blocks of rows, in two passes; pairs of groups and cells would send 80 times as many.
+        assert sent.value < 251 * 25 * 2
