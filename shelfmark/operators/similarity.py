@@ -21,7 +21,7 @@ DIGITS = 9
 # Query vectors and corpus vectors of a block, and scores held in a task at a time.
 QUERIES = 1024
 ROWS = 4096
-SCORES = 4 << 20
+SCORES = 1 << 20
 SALTS = 64
 
 

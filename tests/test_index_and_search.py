@@ -1,3 +1,4 @@
+import inspect
 import sys
 
 import numpy as np
@@ -9,6 +10,7 @@ from conftest import plan
 from shelfmark.operators import cells
 from shelfmark.operators import index as ix
 from shelfmark.operators import similarity
+from registered import stand_ins
 from registered.stand_ins import hashed_words
 from shelfmark.operators.embedding import with_embedding
 from shelfmark.operators.similarity import best_matches
@@ -326,3 +328,13 @@ def test_embedding_in_as_many_tasks_as_asked(spark):
     rows = products(spark, [(str(i), f"w{i}") for i in range(200)])
     out = ix.embedded(ix.one_per_key(rows), embedder, partitions=7)
     assert out.rdd.getNumPartitions() == 7 and out.count() == 200
+
+
+def test_the_stand_in_remembers_a_bounded_number_of_words(monkeypatch):
+    texts = [" ".join(f"word{i * j % 97}" for j in range(30)) for i in range(20)]
+    free = hashed_words(16)(texts)
+    monkeypatch.setattr(stand_ins, "REMEMBERED", 5)
+    bounded = hashed_words(16)
+    assert (bounded(texts) == free).all()
+    slot = inspect.getclosurevars(bounded).nonlocals["slot"]
+    assert len(inspect.getclosurevars(slot).nonlocals["slots"]) <= 5
