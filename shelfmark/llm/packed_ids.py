@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import raw_texts, texts
 from .placing import Run
-from .tokens import WordEncoder
+from .tokens import kept_encoder
 
 LIMIT = 2048
 PADDING = 0
@@ -170,7 +170,7 @@ def pack_ids(
     kind = slim.schema["doc_id"].dataType
 
     def pack(batches):
-        encode = WordEncoder(tokenizer)
+        encode = kept_encoder(tokenizer)
         first = TaskContext.get().partitionId() << 33
         block = _Block(limit, padding)
 

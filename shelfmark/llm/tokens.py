@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -97,6 +98,12 @@ class WordEncoder:
         return ids
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, end: int | None = 0) -> WordEncoder:
+    """The encoder of this Python worker, which later tasks find with the words it remembers."""
+    return WordEncoder(path, end)
+
+
 def _room(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.r_[array, np.zeros(max(size, len(array)), array.dtype)]
 

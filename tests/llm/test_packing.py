@@ -181,3 +181,13 @@ def test_lengths_of_one_kind_are_ranked_apart(spark):
     cut = spark.createDataFrame([(i, 0, 0, 5, i) for i in range(500)], "doc_id long, piece int, start long, length long, ids_crc32 long")
     rows = placing.placed(cut, lambda c: best_two_fit.best_two_fit(c, 20), cells=4).collect()
     assert len({(r.sequence_id, r.offset) for r in rows}) == 500 and len({r.sequence_id for r in rows}) == 125
+
+
+def test_tasks_of_a_worker_share_an_encoder():
+    path = tokenizer_path()
+    encode = tokens.kept_encoder(path)
+    assert tokens.kept_encoder(path) is encode and tokens.kept_encoder(path, None) is not encode
+    words = [t.encode() for t in ("some words twice, some", "other words; É", "")]
+    once = [encode(t).tolist() for t in words]
+    encode.forget()
+    assert [encode(t).tolist() for t in words[::-1]] == once[::-1]
