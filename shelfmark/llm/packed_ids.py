@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import raw_texts, texts
+from .common import texts
 from .placing import Run
 from .tokens import kept_encoder
 
@@ -185,8 +185,8 @@ def pack_ids(
             block = _Block(limit, padding)
 
         for batch in batches:
-            for row, text in zip(batch["doc_id"].to_pylist(), raw_texts(batch["text"])):
-                block.add(row, encode(text))
+            for row, ids in zip(batch["doc_id"].to_pylist(), encode.all(batch["text"])):
+                block.add(row, ids)
                 if block.tokens >= block_tokens:
                     yield from flush()
         yield from flush()

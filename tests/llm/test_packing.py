@@ -3,6 +3,7 @@ from collections import defaultdict
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -92,6 +93,32 @@ def test_word_encoder_gives_the_tokenizers_ids(text):
         assert encoder(t.encode()).tolist() == [*expected, 0]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | WORDS | st.sampled_from(["a<|endoftext|>b", "<|ENDOFTEXT|>", "É<|EndOfText|>"]), max_size=8), st.data())
+def test_texts_encoded_together_are_as_each_alone(texts, data):
+    encoder = tokens.kept_encoder(tokenizer_path())
+    a = data.draw(st.integers(0, len(texts)))
+    column = pa.array([*texts, "beyond"], data.draw(st.sampled_from([pa.string(), pa.large_string()])))[a : len(texts)]
+    assert [ids.tolist() for ids in encoder.all(column)] == [encoded(t) for t in texts[a:]]
+
+
+def test_texts_that_are_no_utf8_are_encoded():
+    encoder = tokens.kept_encoder(tokenizer_path())
+    column = pa.array([b"a\xc3", b"\xa9b, \xc3,", b"\xc3\xa9 ok"], pa.binary())
+    wanted = [encoded(t.decode(errors="replace")) for t in column.to_pylist()]
+    assert [ids.tolist() for ids in encoder.all(column)] == wanted
+
+
+def test_words_with_marks_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokens, "LOT_BYTES", 8)
+    encoder = tokens.WordEncoder(tokenizer_path())
+    column = pa.array(["Wörter, wörter. wörter!", None, "wörter", "more,wörter ,", "more"])
+    assert [ids.tolist() for ids in encoder.all(column)] == [encoded(t) for t in column.to_pylist()]
+    assert sorted(encoder.code) == sorted(t.encode() for t in ("wörter", "more", ",", ".", "!"))
+    monkeypatch.setattr(tokens, "REMEMBERED", 2)
+    assert [ids.tolist() for ids in encoder.all(column)] == [encoded(t) for t in column.to_pylist()]
+
+
 @cache
 def whole_tokenizer():
     return Tokenizer.from_file(tokenizer_path())
