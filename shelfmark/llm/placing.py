@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
-from .common import raw_texts
 from .tokens import WordEncoder
 
 # Pieces of one length are ranked in as many separate cells.
@@ -42,8 +41,8 @@ def pieces(slim: DataFrame, tokenizer: str, limit: int, end: int = 0) -> DataFra
         encode = WordEncoder(tokenizer, end)
         for batch in batches:
             rows, out = [], []
-            for i, text in enumerate(raw_texts(batch["text"])):
-                ids = encode(text).astype("<u4")
+            for i, ids in enumerate(encode.all(batch["text"])):
+                ids = ids.astype("<u4", copy=False)
                 for start in range(0, len(ids), limit):
                     raw = ids[start : start + limit].tobytes()
                     rows.append(i)
