@@ -75,10 +75,30 @@ class WordEncoder:
             return []
         texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
         bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        lot = bounds[:-1] // LOT_BYTES
-        cuts = [*np.flatnonzero(np.r_[True, lot[1:] != lot[:-1]]).tolist(), len(lot)]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-        return [ids for a, b in zip(cuts, cuts[1:]) for ids in self._lot(data, bounds[a : b + 1])]
+        lot, long = bounds[:-1] // LOT_BYTES, np.diff(bounds) > LOT_BYTES
+        cuts = [*np.flatnonzero(np.r_[True, (lot[1:] != lot[:-1]) | long[1:] | long[:-1]]).tolist(), len(lot)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            out += [self._long(data[bounds[a] : bounds[b]])] if long[a] else self._lot(data, bounds[a : b + 1])
+        return out
+
+    def _long(self, raw: np.ndarray) -> np.ndarray:
+        """The ids of a text of any length, cut before white space."""
+        whole = raw.tobytes()
+        if any(s in whole for s in self.special):
+            return np.array(self.whole(whole.decode(errors="replace")) + self.end, np.uint32)
+        space = KIND[raw] == SPACE
+        out, at = [], 0
+        while at < len(raw):
+            beyond = min(at + LOT_BYTES, len(raw))
+            if beyond < len(raw):
+                step = int(space[beyond:].argmax())
+                beyond = beyond + step if space[beyond + step] else len(raw)
+            ids = self._lot(raw, np.array([at, beyond]))[0]
+            out.append(ids[: len(ids) - len(self.end)])
+            at = beyond
+        return np.concatenate([*out, np.array(self.end, np.uint32)])
 
     def _lot(self, data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
         raw, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]

@@ -102,6 +102,15 @@ def test_texts_encoded_together_are_as_each_alone(texts, data):
     assert [ids.tolist() for ids in encoder.all(column)] == [encoded(t) for t in texts[a:]]
 
 
+def test_long_texts_are_cut_at_white_space(monkeypatch):
+    monkeypatch.setattr(tokens, "LOT_BYTES", 5)
+    texts = ["a b", "  some é longer \n text, without end", "x" * 40, None, "tail  ", "y <|endoftext|> z of it", "", " " * 12]
+    for end in (0, None):
+        encoder = tokens.WordEncoder(tokenizer_path(), end)
+        wanted = [encoded(t)[: None if end == 0 else -1] for t in texts]
+        assert [ids.tolist() for ids in encoder.all(pa.array(texts))] == wanted
+
+
 def test_texts_that_are_no_utf8_are_encoded():
     encoder = tokens.kept_encoder(tokenizer_path())
     column = pa.array([b"a\xc3", b"\xa9b, \xc3,", b"\xc3\xa9 ok"], pa.binary())
