@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
+from .common import free_memory
 from .tokens import WordEncoder
 
 # Pieces of one length are ranked in as many separate cells.
@@ -38,6 +39,7 @@ def pieces(slim: DataFrame, tokenizer: str, limit: int, end: int = 0) -> DataFra
     ``slim`` has ``doc_id`` and ``text``; a null text is empty and gives one piece of one token.
     """
     def cut(batches):
+        free_memory()
         encode = WordEncoder(tokenizer, end)
         for batch in batches:
             rows, out = [], []

@@ -18,7 +18,7 @@ REMEMBERED = 500_000
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # New units that the tokenizer's model gets in one call, and bytes of text that are taken apart at once.
 AT_ONCE = 1000
-LOT_BYTES = 4 << 20
+LOT_BYTES = 1 << 20
 
 LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 SPACE, LETTER, MARK, OTHER, LEAD = range(5)
