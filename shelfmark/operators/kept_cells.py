@@ -1,10 +1,12 @@
 """A search index kept by cell, which a sync brings up to date by writing only the cells it touches.
 
-Rows lie in the cell of a similar pivot (``pieces.py`` keeps cells as pieces of a table). For every
-cell the list of cells has its pivot, its number of rows, the similarity of its least similar member
+Rows lie in the cell of a similar pivot (``pieces.py`` keeps cells as pieces of a table, small ones in
+packs that are read together; of a pack whose cells have mostly been written anew the others are too).
+For every cell the list of cells has its pivot, its number of rows, the similarity of its least similar member
 and, for each attribute, a bitmap of the hashed values that occur. A sync embeds new and changed
 texts, sends them to their nearest pivots and writes the touched cells anew under new numbers; cells
-with too many rows are split in two by two-means, as often as needed. Bounds hold whichever cell a
+with too many rows are split in two by two-means, as often as needed: each in one task that makes all
+its cuts, after cells too large for a task have been cut over all tasks. Bounds hold whichever cell a
 row is in, so searches stay exact however cells were split.
 """
 
@@ -31,6 +33,12 @@ from .similarity import matrix_of, unit
 CELL_ROWS = 16_384
 # Rounds of two-means for a split.
 ROUNDS = 3
+# Numbers in the vectors of a cell that one task cuts by itself; larger cells are first cut over all tasks.
+NUMBERS = 1 << 21
+# Rows of a pack, in which cells smaller than that are kept together.
+PACK_ROWS = 16_384
+# No half of a cut within a task has less than one in so many of the rows, so cuts never go deep.
+LEAST = 16
 # Bits of the bitmap of an attribute, as many as one bitmap aggregate has.
 BITS = 32_768
 
@@ -149,21 +157,29 @@ def sync_cells(
         changes.where("change = 'delete'").select(key)
     )
     placed = _placed(fresh, before.cells, key)
-    touched = stored(
-        changes.join(left, key, "left_semi").where("cell IS NOT NULL").select("cell").union(placed.select("cell")).distinct(),
-        "touched",
-    )
+    touched = changes.join(left, key, "left_semi").where("cell IS NOT NULL").select("cell").union(placed.select("cell")).distinct()
+    if pieces.is_packed(spark, name):
+        touched = _with_thin_packs(stored(touched, "touched"), before.cells)
+    touched = stored(touched, "touched")
     held = pieces.rows_in(spark, name, touched.withColumnRenamed("cell", pieces.PIECE))
     held = held.withColumnRenamed(pieces.PIECE, "cell").select(*columns, "cell")
     kept = held.join(left, key, "left_anti")
     relabelled = held.select(key, "embedding", "cell").join(
         arrived.where("change = 'relabel'").select(key, "text_hash", "marks_hash", *attributes), key
     )
-    rows = kept.unionByName(relabelled.select(*columns, "cell")).unionByName(placed)
+    rows = stored(kept.unionByName(relabelled.select(*columns, "cell")).unionByName(placed), "cells-held")
     _write(spark, name, rows, before.cells, touched, key, columns, attributes, cell_rows, path)
     return changes.select(key, "change")
 
 
+def _with_thin_packs(touched: DataFrame, cells: DataFrame) -> DataFrame:
+    """Cells to be written anew, and those of packs of which less than half is left without them."""
+    left = cells.select("cell", "pack_cells").join(touched, "cell", "left_anti")
+    pack = F.expr(f"cell div {pieces.PACKED}").alias("pack")
+    thin = left.groupBy(pack).agg(F.count(F.lit(1)).alias("n"), F.max("pack_cells").alias("all")).where("2 * n < all")
+    return touched.union(left.select("cell", pack).join(thin.select("pack"), "pack", "left_semi").select("cell"))
+
+
 def _embedded(rows: DataFrame, make_embedder, text: str, partitions: int | None) -> DataFrame:
     rows = rows if partitions is None else rows.repartition(partitions)
     return with_embedding(rows, make_embedder, text)
@@ -179,56 +195,133 @@ def _write(
     spark: SparkSession, name: str, rows: DataFrame, cells: DataFrame, touched: DataFrame | None, key: str,
     columns: list[str], attributes: Sequence[str], cell_rows: int, path: str | None,
 ) -> None:
-    """Write rows of touched cells as new cells, split where they are too many, and publish the list."""
+    """Write stored rows of touched cells as new cells, split where they are too many, and publish the list."""
     rows, pivots = _split(rows, cells.select(F.col("cell").cast("int"), "pivot"), key, cell_rows)
     base = pieces.next_piece(spark, name)
-    used = rows.select("cell").distinct()
-    number = (F.row_number().over(Window.orderBy("cell")) - 1 + base).cast("int").alias("_new")
-    numbers = stored(used.select("cell", number), "cell-numbers")
-    moved = rows.join(numbers, "cell").withColumn("cell", F.col("_new")).drop("_new")
-    pivots = pivots.join(numbers, "cell").select(F.col("_new").alias("cell"), "pivot")
-    moved = stored(moved.select(*columns, "cell"), "cells-moved")
+    packed = pieces.is_packed(spark, name) or not spark.catalog.tableExists(name + pieces.ROWS)
+    # A pack takes cells for about PACK_ROWS rows: the larger they are, the more numbers are left out between them.
+    step = min(pieces.PACKED, max(1, cell_rows * pieces.PACKED // PACK_ROWS)) if packed else 1
+    used = rows.select("cell", "part").distinct()
+    number = ((F.row_number().over(Window.orderBy("cell", "part")) - 1) * step + base).cast("int").alias("_new")
+    numbers = stored(used.select("cell", "part", number), "cell-numbers")
+    moved = rows.join(numbers, ["cell", "part"]).withColumn("cell", F.col("_new")).select(*columns, "cell")
+    pivots = pivots.join(numbers, ["cell", "part"]).select(F.col("_new").alias("cell"), "pivot")
     about = measured(moved, pivots, key, "embedding", *_bitmaps(attributes))
+    if packed:
+        pack = F.expr(f"_new div {pieces.PACKED}")
+        sizes = numbers.select(F.col("_new").alias("cell"), F.count(F.lit(1)).over(Window.partitionBy(pack)).alias("pack_cells"))
+        about = about.join(sizes, "cell")
     if touched is not None:
         about = cells.join(touched, "cell", "left_anti").select(*about.columns).unionByName(about)
-    pieces.add_rows(moved.withColumnRenamed("cell", pieces.PIECE), name, path)
+    pieces.add_rows(moved.withColumnRenamed("cell", pieces.PIECE), name, path, packed)
     pieces.publish(about.withColumnRenamed("cell", pieces.PIECE), name, columns, path)
     pieces.tidy(spark, name)
 
 
 def _split(rows: DataFrame, cells: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows and pivots such that no cell has more than ``limit`` rows.
+    """Stored rows with the ``part`` of their cell, and pivots of (cell, part): no part has more than ``limit`` rows.
 
-    Each round cuts every cell that has too many in two. A row as near to both halves' centres goes
-    by the hash of its key, so that copies of one vector are cut as well.
+    A cell that a task can hold is cut there, as often as needed, so the number of jobs does not follow
+    the number of cuts. Only larger cells go through rounds that cut each of them in two over all tasks;
+    the rows of other cells are not written again.
     """
-    rows, cells = stored(rows, "cells-held"), stored(cells, "cells-pivots")
-    while True:
-        sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("_rows"))
-        large = stored(sizes.where(F.col("_rows") > limit).select("cell"), "cells-large")
-        if large.isEmpty():
-            return rows, cells
-        inside = stored(rows.join(large, "cell"), "cells-split")
-        centres = _two_means(inside, key)
-        halves = _sided(inside, centres, key)
-        top = max(rows.agg(F.max("cell")).first()[0], cells.agg(F.max("cell")).first()[0]) + 1
-        order = Window.orderBy("cell", "side")
-        named = stored(
-            centres.select(
-                "cell", F.explode(F.array(
-                    F.struct(F.lit(0).alias("side"), F.col("a").alias("pivot")),
-                    F.struct(F.lit(1).alias("side"), F.col("b").alias("pivot")),
-                )).alias("half"),
-            ).select("cell", "half.side", "half.pivot").withColumn("_new", (F.row_number().over(order) - 1 + top).cast("int")),
-            "cells-halves",
-        )
-        cut = halves.join(named.select("cell", "side", "_new"), ["cell", "side"])
-        cut = cut.withColumn("cell", F.col("_new")).select(*rows.columns)
-        cells = stored(
-            cells.join(large, "cell", "left_anti").unionByName(named.select(F.col("_new").alias("cell"), "pivot")),
-            "cells-pivots",
-        )
-        rows = stored(rows.join(large, "cell", "left_anti").unionByName(cut), "cells-held")
+    cells = stored(cells, "cells-pivots")
+    one = rows.select(F.size("embedding")).first()
+    within = max(limit, NUMBERS // max(1, one[0])) if one else limit
+    parts, large = [], _larger(rows, within)
+    while not large.isEmpty():
+        parts.append(rows.join(large, "cell", "left_anti"))
+        rows, cells = _halved(stored(rows.join(large, "cell"), "cells-split"), cells, large, key)
+        large = _larger(rows, within)
+    for part in parts:
+        rows = rows.unionByName(part)
+    cut = stored(_cut(rows, key, limit), "cells-cut")
+    new = cut.where(F.col("pivot").isNotNull()).select("cell", "part", "pivot")
+    same = cells.join(new.select("cell").distinct(), "cell", "left_anti").select("cell", F.lit(0).alias("part"), "pivot")
+    return cut.drop("pivot"), same.unionByName(new)
+
+
+def _larger(rows: DataFrame, limit: int) -> DataFrame:
+    """The cells with more than ``limit`` rows."""
+    sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("_rows"))
+    return stored(sizes.where(F.col("_rows") > limit).select("cell"), "cells-large")
+
+
+def _halved(rows: DataFrame, cells: DataFrame, large: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Every one of the ``large`` cells, whose rows are given, cut in two under new numbers; and all cells.
+
+    A row as near to both halves' centres goes by the hash of its key, so that copies of one vector are
+    cut as well.
+    """
+    centres = _two_means(rows, key)
+    top = cells.agg(F.max("cell")).first()[0] + 1
+    order = Window.orderBy("cell", "side")
+    named = stored(
+        centres.select(
+            "cell", F.explode(F.array(
+                F.struct(F.lit(0).alias("side"), F.col("a").alias("pivot")),
+                F.struct(F.lit(1).alias("side"), F.col("b").alias("pivot")),
+            )).alias("half"),
+        ).select("cell", "half.side", "half.pivot").withColumn("_new", (F.row_number().over(order) - 1 + top).cast("int")),
+        "cells-halves",
+    )
+    cut = _sided(rows, centres, key).join(named.select("cell", "side", "_new"), ["cell", "side"])
+    cut = cut.withColumn("cell", F.col("_new")).select(*rows.columns)
+    cells = stored(
+        cells.join(large, "cell", "left_anti").unionByName(named.select(F.col("_new").alias("cell"), "pivot")),
+        "cells-pivots",
+    )
+    return stored(cut, "cells-held"), cells
+
+
+def _cut(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """Rows with the ``part`` of their cell, of at most ``limit`` rows; one row of each part of a cut cell has its pivot."""
+    more = [T.StructField("part", T.IntegerType()), T.StructField("pivot", T.ArrayType(T.DoubleType()))]
+    schema = T.StructType([*rows.schema, *more])
+    names = rows.columns
+
+    def run(table: pa.Table) -> pa.Table:
+        part, pivots = np.zeros(table.num_rows, dtype=np.int32), {}
+        if table.num_rows > limit:
+            vectors = unit(matrix_of(table["embedding"].combine_chunks()))
+            part, pivots = _parts(vectors, table["_chance"].to_numpy(), limit)
+        placed = pa.array([pivots.get(i) for i in range(table.num_rows)], pa.list_(pa.float64()))
+        columns = [*(table[n] for n in names), pa.array(part), placed]
+        return pa.Table.from_arrays(columns, names=schema.names)
+
+    hashed = rows.withColumn("_chance", F.xxhash64(key))
+    return hashed.groupBy("cell").applyInArrow(run, schema)
+
+
+def _parts(vectors: np.ndarray, chance: np.ndarray, limit: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """The part of each row, cut in two until none has more than ``limit``, and the unit centre of each part by its first row."""
+    part, pivots, open_ = np.zeros(len(vectors), dtype=np.int32), {}, [np.arange(len(vectors))]
+    while open_:
+        at = open_.pop()
+        if len(at) > limit:
+            second = _second_half(vectors[at], chance[at])
+            open_ += [at[second], at[~second]]
+        else:
+            part[at] = len(pivots)
+            pivots[int(at[0])] = unit(vectors[at].sum(axis=0, keepdims=True))[0]
+    return part, pivots
+
+
+def _second_half(vectors: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Which rows the second of two means gets, after some rounds from two of the rows; rows near to both go by ``chance``."""
+    a, b = vectors[chance.argmin()], vectors[chance.argmax()]
+    for _ in range(ROUNDS):
+        difference = vectors @ (b - a)
+        second = np.where(np.abs(difference) < 1e-9, chance & 1, difference > 0).astype(bool)
+        # A side without rows keeps its centre.
+        a = unit(vectors[~second].sum(axis=0, keepdims=True))[0] if not second.all() else a
+        b = unit(vectors[second].sum(axis=0, keepdims=True))[0] if second.any() else b
+    difference = np.round(vectors @ (b - a), 9)
+    order, least = np.lexsort((chance, difference)), -(-len(vectors) // LEAST)
+    middle = int((difference < 0).sum()) + int((difference == 0).sum()) // 2
+    second = np.zeros(len(vectors), dtype=bool)
+    second[order[min(max(middle, least), len(vectors) - least):]] = True
+    return second
 
 
 def _chance(key: str) -> Column:
@@ -314,7 +407,7 @@ def search_cells(
     only: DataFrame | None = None,
     counter: Accumulator | None = None,
 ) -> DataFrame:
-    """The k most cosine-similar rows of each query, reading only cells that can hold one.
+    """The k most cosine-similar rows of each query, reading only packs with cells that can hold one.
 
     ``having`` names values that attributes must have (None for null): cells without any are not
     read. ``only`` has the keys that may be found, for other conditions. The answer is that of a

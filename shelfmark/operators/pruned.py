@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.pieces import with_pack
 from ..sources.shared import stored
 from .catalogue import KEY
 from .similarity import QUERIES, ROWS, SCORES, best_of, cosines, matrix_of, query_vectors, ranked, unit, usable
@@ -284,8 +285,8 @@ def _searched(
     members = F.filter("members", lambda m: F.map_contains_key("meets", m["group"]))
     asked = F.transform(members, lambda m: F.struct(F.col("meets")[m["group"]].alias("cells"), m["queries"].alias("queries")))
     blocks = meets.join(bundles, "bundle").select("lot", part, asked.alias("asked"))
-    wanted = pairs.where("cell >= 0").select("cell").distinct()
-    held = rows.join(wanted, "cell", "left_semi")
+    wanted = with_pack(pairs.where("cell >= 0").select("cell").distinct(), rows)
+    held = rows.join(wanted, wanted.columns, "left_semi")
     laid = _laid(usable(held if where is None else held.where(where), key, vector, "cell"), key, vector, lots)
     copies = laid.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     schema = T.StructType([

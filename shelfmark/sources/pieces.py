@@ -5,16 +5,22 @@ that count, with what is known of each. A change never writes into a piece: it a
 pieces it touches under numbers not used before and then publishes a new list, which is one switch
 of a view. So bytes written follow the change, readers see either state whole, and what a failed
 change leaves behind is in no list and goes with the next one. One writer at a time is assumed.
+
+Many small pieces would be as many folders and files. A packed table is partitioned by packs instead,
+each a range of PACKED piece numbers, and the number of a row's piece is a column; a change begins a
+pack of its own. A pack goes when none of its pieces counts any more.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import _quoted, _versions, write_table
 
 PIECE = "piece"
+PACK = "piece_pack"
+PACKED = 64
 ROWS, LIST = "__rows", "__pieces"
 
 
@@ -28,30 +34,50 @@ def rows_in(spark: SparkSession, name: str, wanted: DataFrame | None = None) ->
     listed = wanted if wanted is not None else pieces(spark, name)
     # The comparison is what lets Spark prune partitions by the join at run time.
     listed = listed.where(F.col(PIECE) >= 0).select(PIECE)
-    return spark.table(name + ROWS).join(listed, PIECE, "left_semi")
+    rows = spark.table(name + ROWS)
+    return rows.join(with_pack(listed, rows), with_pack(listed, rows).columns, "left_semi").drop(PACK)
+
+
+def with_pack(listed: DataFrame, rows: DataFrame) -> DataFrame:
+    """A list whose first column is a number of pieces, with their packs if ``rows`` lie in packs."""
+    return listed.withColumn(PACK, _pack(listed.columns[0])) if PACK in rows.columns else listed
+
+
+def _pack(piece: str) -> Column:
+    return F.expr(f"cast(`{piece}` div {PACKED} as int)")
+
+
+def is_packed(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name + ROWS) and PACK in spark.table(name + ROWS).columns
 
 
 def next_piece(spark: SparkSession, name: str) -> int:
     """A number above those of all pieces, whether listed, listed before or left by a failed change."""
     listed = pieces(spark, name)
     highest = listed.agg(F.max(PIECE)).first()[0] if listed is not None else None
-    return 1 + max([-1 if highest is None else highest, *_there(spark, name)])
+    size = PACKED if is_packed(spark, name) else 1
+    there = [n * size + size - 1 for n in _there(spark, name)]
+    return -(-(1 + max([-1 if highest is None else highest, *there])) // size) * size
 
 
 def _there(spark: SparkSession, name: str) -> set[int]:
-    """Numbers of the pieces that have rows: one for each, as the catalog itself holds."""
+    """Numbers of the pieces, or packs, that have rows: one for each, as the catalog itself holds."""
     if not spark.catalog.tableExists(name + ROWS):
         return set()
     return {int(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {_quoted(name + ROWS)}").collect()}
 
 
-def add_rows(df: DataFrame, name: str, path: str | None = None) -> None:
+def add_rows(df: DataFrame, name: str, path: str | None = None, packed: bool = False) -> None:
     """Add rows of new pieces; they count once a list with them is published.
 
-    The rebalance hint brings the rows of a piece together, and lets adaptive execution split a
-    piece that holds many of them over several tasks.
+    ``packed`` says how a new table is laid out; one that is there stays as it is. The rebalance hint
+    brings the rows of a piece together, and lets adaptive execution split a piece that holds many of
+    them over several tasks.
     """
-    writer = df.hint("rebalance", PIECE).write.mode("append").partitionBy(PIECE)
+    spark, by = df.sparkSession, PIECE
+    if is_packed(spark, name) if spark.catalog.tableExists(name + ROWS) else packed:
+        df, by = df.withColumn(PACK, _pack(PIECE)), PACK
+    writer = df.hint("rebalance", by).write.mode("append").partitionBy(by)
     if path is not None:
         writer = writer.option("path", f"{path.rstrip('/')}/rows")
     writer.saveAsTable(name + ROWS)
@@ -62,19 +88,21 @@ def publish(listed: DataFrame, name: str, columns: list[str], path: str | None =
     spark = listed.sparkSession
     write_table(listed, name + LIST, path=path and f"{path.rstrip('/')}/pieces")
     names = ", ".join(f"r.`{c}`" for c in columns)
+    pack = f" AND r.{PACK} = cast(l.{PIECE} div {PACKED} as int)" if is_packed(spark, name) else ""
     spark.sql(
         f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT {names} FROM {_quoted(name + ROWS)} AS r "
-        f"LEFT SEMI JOIN {_quoted(name + LIST)} AS l ON r.{PIECE} = l.{PIECE} AND l.{PIECE} >= 0"
+        f"LEFT SEMI JOIN {_quoted(name + LIST)} AS l ON r.{PIECE} = l.{PIECE} AND l.{PIECE} >= 0{pack}"
     )
     return spark.table(name)
 
 
 def tidy(spark: SparkSession, name: str) -> None:
     """Drop the pieces that neither the present list nor the one before it names."""
-    there = _there(spark, name)
+    there, by = _there(spark, name), PACK if is_packed(spark, name) else PIECE
     for _, version in _versions(spark, name + LIST):
-        there -= {r[0] for r in spark.table(version).select(PIECE).collect()}
+        number = _pack(PIECE) if by == PACK else F.col(PIECE)
+        there -= {r[0] for r in spark.table(version).select(number).distinct().collect()}
     stale = sorted(there)
     for start in range(0, len(stale), 500):
-        parts = ", ".join(f"PARTITION ({PIECE}={n})" for n in stale[start : start + 500])
+        parts = ", ".join(f"PARTITION ({by}={n})" for n in stale[start : start + 500])
         spark.sql(f"ALTER TABLE {_quoted(name + ROWS)} DROP IF EXISTS {parts}")

@@ -228,6 +228,95 @@ def test_copies_of_one_vector_are_split(spark, schema):
     assert max(r.rows for r in cells.values()) <= 40
 
 
+def steps_of(monkeypatch):
+    """The labels of what a sync stores."""
+    labels, inner = [], kc.stored
+    monkeypatch.setattr(kc, "stored", lambda df, label, by=None: labels.append(label) or inner(df, label, by))
+    return labels
+
+
+def folders(schema):
+    return [n for n in os.listdir(f"{schema}/idx__rows") if "=" in n]
+
+
+def test_steps_do_not_follow_the_cuts(spark, schema, monkeypatch):
+    kc.sync_cells(products(spark, [("q", "others")]), "idx", embedder, cell_rows=4)
+    labels = steps_of(monkeypatch)
+    kc.sync_cells(products(spark, catalogue(250) + [("q", "others")]), "idx", embedder, cell_rows=4)
+    _, cells = state(spark, "idx")
+    assert len(cells) > 60 and max(r.rows for r in cells.values()) <= 4
+    assert labels.count("cells-large") == 1 and "centres" not in labels
+
+
+def test_cells_too_large_for_a_task(spark, schema, monkeypatch):
+    monkeypatch.setattr(kc, "NUMBERS", 16 * 120)
+    kc.sync_cells(products(spark, [("q", "others")]), "idx", embedder, cell_rows=15)
+    labels = steps_of(monkeypatch)
+    rows = catalogue(150) + [(f"c{i}", "the same words") for i in range(100)] + [("e", ""), ("q", "others")]
+    kc.sync_cells(products(spark, rows), "idx", embedder, cell_rows=15)
+    found, cells = state(spark, "idx")
+    assert len(found) == 252 and max(r.rows for r in cells.values()) <= 15 and "centres" in labels
+    frame = ix.embedded(products(spark, rows), embedder)
+    asked = query_table(spark, [r.embedding for r in found[:20]])
+    assert triples(kc.search_cells(kc.open_cells(spark, "idx"), asked, 5)) == triples(best_matches(frame, asked, 5))
+
+
+@pytest.mark.parametrize("kind", ["spread", "copies", "zeros", "outliers"])
+def test_parts_of_a_cell(kind):
+    vectors = np.random.default_rng(1).normal(size=(500, 6))
+    if kind == "copies":
+        vectors[20:] = vectors[20]
+    elif kind == "zeros":
+        vectors[3:] = 0
+    elif kind == "outliers":  # each would be alone on its side of a cut
+        vectors = np.eye(500)[:, :6] * 9 + 1e-3 * vectors
+    chance = np.random.default_rng(2).permutation(500)
+    part, pivots = kc._parts(similarity.unit(vectors), chance, 7)
+    sizes = np.bincount(part)
+    assert sizes.min() > 0 and sizes.max() <= 7 and len(sizes) == len(pivots) < 500
+    assert {part[i] for i in pivots} == set(range(len(sizes)))
+
+
+def test_small_cells_share_a_folder(spark, schema):
+    rows = catalogue(600)
+    kc.sync_cells(products(spark, rows), "idx", embedder, cell_rows=30)
+    assert len(kc.open_cells(spark, "idx").cells.collect()) >= 20 and len(folders(schema)) == 1
+    listed = pieces.pieces(spark, "idx")
+    text = plan(pieces.rows_in(spark, "idx", listed.where("piece = 3")))
+    assert "dynamicpruning" in text and pieces.rows_in(spark, "idx", listed.where("piece = 3")).count() <= 30
+    # Of a pack that is mostly written anew, all cells are; what no list names is dropped.
+    for i in range(3):
+        rows[i * 150 : i * 150 + 150] = [(k, f"{t} new{i}", *r) for k, t, *r in rows[i * 150 : i * 150 + 150]]
+        kc.sync_cells(products(spark, rows), "idx", embedder, cell_rows=30)
+    state(spark, "idx")
+    assert len(folders(schema)) <= 8 and spark.table("idx__rows").count() <= 600 * 4
+    for r in kc.open_cells(spark, "idx").cells.groupBy(F.expr("cell div 64")).agg(F.count("*").alias("n"), F.max("pack_cells").alias("all")).collect():
+        assert 2 * r.n >= r.all
+
+
+def test_large_cells_have_folders_of_their_own(spark, schema, monkeypatch):
+    monkeypatch.setattr(kc, "PACK_ROWS", 30)
+    kc.sync_cells(products(spark, catalogue(300)), "idx", embedder, cell_rows=30)
+    kc.sync_cells(products(spark, catalogue(310, 300)), "idx", embedder, cell_rows=30)
+    rows, cells = state(spark, "idx")
+    assert len(rows) == 10 and all(c % 64 == 0 for c in cells)
+
+
+def test_a_table_with_a_folder_for_each_cell_stays_so(spark, schema, monkeypatch):
+    inner = pieces.add_rows
+    with monkeypatch.context() as m:
+        m.setattr(pieces, "add_rows", lambda df, name, path=None, packed=False: inner(df, name, path))
+        m.setattr(kc, "PACK_ROWS", 30 * 64)
+        kc.sync_cells(products(spark, catalogue(100)), "idx", embedder, cell_rows=30)
+    assert not pieces.is_packed(spark, "idx")
+    rows = catalogue(120, 20)
+    kc.sync_cells(products(spark, rows), "idx", embedder, cell_rows=30)
+    assert {r[KEY] for r in state(spark, "idx")[0]} == {r[0] for r in rows}
+    frame = ix.embedded(products(spark, rows), embedder)
+    asked = query_table(spark, np.ones((1, 16)))
+    assert triples(kc.search_cells(kc.open_cells(spark, "idx"), asked, 5)) == triples(best_matches(frame, asked, 5))
+
+
 @pytest.fixture(scope="module")
 def kept(spark, tmp_path_factory):
     """An index that has been synced from other rows, and the same as one frame."""
