@@ -45,7 +45,7 @@ BITS = 32_768
 
 @dataclass
 class KeptCells:
-    """Rows (key, text_hash, marks_hash, attributes, embedding, cell) and cells of a kept index."""
+    """Rows (key, text_hash, marks_hash, attributes, embedding, cell, pack if there are any) and cells of a kept index."""
 
     rows: DataFrame
     cells: DataFrame
@@ -201,11 +201,11 @@ def _write(
     packed = pieces.is_packed(spark, name) or not spark.catalog.tableExists(name + pieces.ROWS)
     # A pack takes cells for about PACK_ROWS rows: the larger they are, the more numbers are left out between them.
     step = min(pieces.PACKED, max(1, cell_rows * pieces.PACKED // PACK_ROWS)) if packed else 1
-    used = rows.select("cell", "part").distinct()
-    number = ((F.row_number().over(Window.orderBy("cell", "part")) - 1) * step + base).cast("int").alias("_new")
-    numbers = stored(used.select("cell", "part", number), "cell-numbers")
-    moved = rows.join(numbers, ["cell", "part"]).withColumn("cell", F.col("_new")).select(*columns, "cell")
-    pivots = pivots.join(numbers, ["cell", "part"]).select(F.col("_new").alias("cell"), "pivot")
+    used = rows.select("cell", "_part").distinct()
+    number = ((F.row_number().over(Window.orderBy("cell", "_part")) - 1) * step + base).cast("int").alias("_new")
+    numbers = stored(used.select("cell", "_part", number), "cell-numbers")
+    moved = rows.join(numbers, ["cell", "_part"]).withColumn("cell", F.col("_new")).select(*columns, "cell")
+    pivots = pivots.join(numbers, ["cell", "_part"]).select(F.col("_new").alias("cell"), "pivot")
     about = measured(moved, pivots, key, "embedding", *_bitmaps(attributes))
     if packed:
         pack = F.expr(f"_new div {pieces.PACKED}")
@@ -219,7 +219,7 @@ def _write(
 
 
 def _split(rows: DataFrame, cells: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Stored rows with the ``part`` of their cell, and pivots of (cell, part): no part has more than ``limit`` rows.
+    """Stored rows with the ``_part`` of their cell, and pivots of (cell, part): no part has more than ``limit`` rows.
 
     A cell that a task can hold is cut there, as often as needed, so the number of jobs does not follow
     the number of cuts. Only larger cells go through rounds that cut each of them in two over all tasks;
@@ -236,9 +236,9 @@ def _split(rows: DataFrame, cells: DataFrame, key: str, limit: int) -> tuple[Dat
     for part in parts:
         rows = rows.unionByName(part)
     cut = stored(_cut(rows, key, limit), "cells-cut")
-    new = cut.where(F.col("pivot").isNotNull()).select("cell", "part", "pivot")
-    same = cells.join(new.select("cell").distinct(), "cell", "left_anti").select("cell", F.lit(0).alias("part"), "pivot")
-    return cut.drop("pivot"), same.unionByName(new)
+    new = cut.where(F.col("_pivot").isNotNull()).select("cell", "_part", F.col("_pivot").alias("pivot"))
+    same = cells.join(new.select("cell").distinct(), "cell", "left_anti").select("cell", F.lit(0).alias("_part"), "pivot")
+    return cut.drop("_pivot"), same.unionByName(new)
 
 
 def _larger(rows: DataFrame, limit: int) -> DataFrame:
@@ -275,8 +275,8 @@ def _halved(rows: DataFrame, cells: DataFrame, large: DataFrame, key: str) -> tu
 
 
 def _cut(rows: DataFrame, key: str, limit: int) -> DataFrame:
-    """Rows with the ``part`` of their cell, of at most ``limit`` rows; one row of each part of a cut cell has its pivot."""
-    more = [T.StructField("part", T.IntegerType()), T.StructField("pivot", T.ArrayType(T.DoubleType()))]
+    """Rows with the ``_part`` of their cell, of at most ``limit`` rows; one row of each part of a cut cell has its pivot."""
+    more = [T.StructField("_part", T.IntegerType()), T.StructField("_pivot", T.ArrayType(T.DoubleType()))]
     schema = T.StructType([*rows.schema, *more])
     names = rows.columns
 

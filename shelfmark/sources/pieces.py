@@ -35,7 +35,8 @@ def rows_in(spark: SparkSession, name: str, wanted: DataFrame | None = None) ->
     # The comparison is what lets Spark prune partitions by the join at run time.
     listed = listed.where(F.col(PIECE) >= 0).select(PIECE)
     rows = spark.table(name + ROWS)
-    return rows.join(with_pack(listed, rows), with_pack(listed, rows).columns, "left_semi").drop(PACK)
+    listed = with_pack(listed, rows)
+    return rows.join(listed, listed.columns, "left_semi").drop(PACK)
 
 
 def with_pack(listed: DataFrame, rows: DataFrame) -> DataFrame:
